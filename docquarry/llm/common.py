@@ -39,3 +39,14 @@ def cut(df: DataFrame) -> DataFrame:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, whatever else the caller's table holds."""
     return df.select(*(F.col(f"`{n}`") for n in names))
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside lambdas (there, Spark would
+    compute a plain expression again for every element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> bool:
+    """Whether a table has at most so many rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import cut, only, table
+from docquarry.llm.common import cut, let, only, table
 
 DIVISOR = 2
 LONG_WORDS = 50
@@ -53,7 +53,7 @@ def _chunks(divisor: int, long_words: int) -> Column:
         F.sequence(F.lit(0), n - 1),
         lambda i: (i == n - 1) | (at("w", i) >= long_words) | F.coalesce(at("w", i + 1) >= long_words, F.lit(False)) | (rolled(i) == 0),
     )
-    spans = F.transform(ends, lambda e, k: F.struct(F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + 1).alias("pos"), e.alias("last")))
+    spans = let(ends, lambda a: F.transform(a, lambda e, k: F.struct(F.when(k == 0, 0).otherwise(F.get(a, k - 1) + 1).alias("pos"), e.alias("last"))))
     return F.transform(
         spans,
         lambda s: F.struct(
@@ -141,8 +141,8 @@ def line_dedup(docs: DataFrame, **settings: int) -> DataFrame:
     are added (they replace columns of these names)."""
     cut_out = removals(docs, **settings).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    rebuilt = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    kept = lambda a: F.array_except(F.sequence(F.lit(0), F.size(a) - 1), F.col("__gone"))
+    rebuilt = let(lines, lambda a: F.array_join(F.transform(kept(a), lambda i: F.get(a, i)), "\n"))
     joined = docs.join(cut_out, F.col("doc_id") == F.col("__id"), "left")
     return joined.withColumns(
         {

@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.llm import line_dedup
-
-MODULES = {"op9_line_dedup": line_dedup}
+from docquarry.llm import chat, decontaminate, line_dedup, mixing
+
+MODULES = {
+    "op6_mixing": mixing,
+    "op7_decontaminate": decontaminate,
+    "op9_line_dedup": line_dedup,
+    "op10_chat": chat,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
