@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.llm import chat, decontaminate, line_dedup, mixing
+from docquarry.llm import chat, decontaminate, line_dedup, minhash, mixing
 
 MODULES = {
+    "op1_minhash": minhash,
     "op6_mixing": mixing,
     "op7_decontaminate": decontaminate,
     "op9_line_dedup": line_dedup,
