@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.llm import chat, decontaminate, line_dedup, minhash, mixing
+from docquarry.llm import chat, decontaminate, embeddings, licenses, line_dedup, minhash, mixing, pii, quality, toxicity
 
 MODULES = {
     "op1_minhash": minhash,
+    "op2_quality": quality,
+    "op3_embeddings": embeddings,
+    "op4_licenses": licenses,
+    "op5_pii": pii,
     "op6_mixing": mixing,
     "op7_decontaminate": decontaminate,
+    "op8_toxicity": toxicity,
     "op9_line_dedup": line_dedup,
     "op10_chat": chat,
 }
