@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple = ()
+from docquarry.operators import parse, search
+
+MODULES = (parse, search)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
