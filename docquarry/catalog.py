@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.operators import parse, search
+from docquarry.operators import dedup, parse, search
 
-MODULES = (parse, search)
+MODULES = (parse, search, dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
