@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.operators import checks, coverage, dedup, parse, search
+from docquarry.operators import checks, coverage, dedup, parse, report, search
 
-MODULES = (parse, search, dedup, coverage, checks)
+MODULES = (parse, search, dedup, coverage, checks, report)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
