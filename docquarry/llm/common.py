@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.plans.lineage import cut, tables_folder
+
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "let", "only", "small", "table", "tables_folder", "words"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: a run of ASCII letters, ASCII digits and any non-ASCII characters (input already lower-cased).
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -25,17 +27,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder that the session names in
-    spark.checkpoint.dir, so that a lost executor costs no more than the tasks it ran. Only a session
-    that names none (a test) gets a temporary folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docquarry-"))
-    return df.checkpoint(eager=True)
-
-
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, whatever else the caller's table holds."""
     return df.select(*(F.col(f"`{n}`") for n in names))
