@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import cut, only, table
-from docquarry.llm.components import components
+from docquarry.operators.graph import components
 
 COSINE = 0.98
 #: Vectors a block; blocks an interval; vectors below which halving stops.

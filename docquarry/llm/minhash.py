@@ -6,12 +6,16 @@ full sets have 100 * |A & B| >= percent * |A | B|. With 64 bands of 8 coordinate
 is missed with a probability below 1e-5, at 0.85 below 2e-9, whatever the size of the sets.
 
 Work that grows with the square of a group is avoided in steps. Equal sets form a class, and only its first
-document goes on. In a band's bucket, members are first held against one member only (a star), and links
-are closed to components; two more stars hold those that are still apart from another member's component
-against it; last, only pairs of one bucket that are still in different components are held against each
-other, which is exact: a pair within a component can't change it. Members of a bucket are never gathered in
-one task: stars are dealt by (centre, salt), the centre's set travels once for each of those, and rows are
-compared as they stream by. Sets are made for candidates only.
+document goes on. In a band's bucket, members are first held against its smallest id only (a star), and links
+are closed to components. Pairs within a component can't change it, so what is left is every bucket that
+holds several components: its members outside the component with most of them (the strays) are assigned to
+that component, and each component's strays are held against all its members and against each other. That
+covers every pair of a bucket that is still apart, and takes a row for each stray and each member, not for
+each pair: a task holds a block of strays and counts their common shingles with each row that streams by.
+
+No bucket is gathered in one task: stars are dealt by (centre, salt), components by (block of strays, salt),
+and a centre's or stray's set travels once for each of those. Sets are made for candidates only. What stays
+quadratic is arithmetic inside tasks, between the strays and the members of one component.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; rows of one id stand
 for one document; a null id is its own component (null) and kept; ties go to the smallest id; texts are
@@ -29,15 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import shingles
-from docquarry.llm.common import cut, only, table
-from docquarry.llm.components import components
+from docquarry.llm.common import only, table
+from docquarry.operators.graph import components
+from docquarry.plans.lineage import cut
 
 BINS = 512
 ROWS = 8
 PERCENT = 80
-STARS = 3
 #: Tasks over which the members of one star can be dealt.
 SALTS = 64
+#: Strays that a task holds, and rows of a component that stream past them in one task.
+STRAYS, STREAMED = 1_000, 4_000
 
 
 def sketched(docs: DataFrame, k: int, bins: int = BINS, rows: int = ROWS) -> DataFrame:
@@ -109,52 +115,88 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, stars: int = STARS) -> DataFrame:
+def _apart(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between documents of a bucket that are in different components, a a stray. Of the links
+    of a stray to one component a task returns the first."""
+    here = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
+    counted = here.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
+    main = counted.groupBy("key").agg(F.max(F.struct("size", (-F.col("c")).alias("c"))).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    main = main.select("key", (-F.col("main.c")).alias("main"))
+    strays = cut(here.join(main, "key").where("c <> main").select("main", "id").distinct())
+    component = members.select("id").distinct().join(labels, "id", "left").select("id", F.coalesce("component_id", "id").alias("main"))
+    rows = component.join(strays.select("main").distinct(), "main", "left_semi").select("main", "id", F.lit(True).alias("inside"))
+    rows = rows.unionByName(strays.withColumn("inside", F.lit(False)))
+    dealt = rows.groupBy("main").agg(
+        F.ceil(F.count_if(~F.col("inside")) / STRAYS).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / STREAMED).cast("int").alias("salts")
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    held = strays.join(dealt, "main").select("main", own("blocks").alias("block"), every("salts").alias("salt"), F.lit(0).alias("kind"), "id", F.lit(False).alias("inside"))
+    passing = rows.join(dealt, "main").select("main", every("blocks").alias("block"), own("salts").alias("salt"), F.lit(1).alias("kind"), "id", "inside")
+    full = held.unionByName(passing).join(sets, "id").select("main", "block", "salt", "kind", "id", "inside", "items")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, ids, own_sets, index = None, [], [], None
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            links: tuple[list[int], list[int]] = ([], [])
+            for main, block, salt, kind, id_, inside, items in zip(*columns, strict=True):
+                if (main, block, salt) != group:
+                    group, ids, own_sets, index = (main, block, salt), [], [], None
+                row = np.frombuffer(items, np.uint64)
+                if kind == 0:
+                    ids.append(id_)
+                    own_sets.append(row)
+                    continue
+                if index is None:
+                    flat = np.concatenate(own_sets)
+                    order = np.argsort(flat, kind="stable")
+                    sizes = np.array([len(s) for s in own_sets])
+                    index = flat[order], np.repeat(np.arange(len(ids)), sizes)[order], sizes, np.array(ids), np.zeros(len(ids), bool)
+                flat, owner, sizes, names, inside_linked = index
+                first, last = np.searchsorted(flat, row, "left"), np.searchsorted(flat, row, "right")
+                runs = last - first
+                at = np.repeat(first - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+                common = np.bincount(owner[at], minlength=len(names))
+                similar = (common > 0) & (100 * common >= percent * (sizes + len(row) - common)) & (names != id_)
+                similar &= ~inside_linked if inside else names < id_
+                if similar.any():
+                    links[0].extend(names[similar].tolist())
+                    links[1].extend([id_] * int(similar.sum()))
+                    if inside:
+                        inside_linked |= similar
+            yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
+
+    keys = ("main", "block", "salt")
+    return full.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     docs = only(docs, "doc_id", "text")
     made = cut(sketched(docs, k, bins, rows))
     known = made.where("n > 0 and doc_id is not null")
     classes = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     spread = classes.select("id", "n", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head <> tail")
-    members = cut(spread.join(shared.select("key"), "key"))
+    shared = spread.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("tail")).where("head.id <> tail")
+    members = cut(spread.join(shared.select("key", "head"), "key"))
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     sets = cut(sets_of(docs.join(wanted, "doc_id", "left_semi"), k).distinct())
 
-    fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    labels = tested = edges = None
-    for star in range(stars + 1):
-        here = members.withColumn("c", F.col("id")) if labels is None else members.join(labels, "id", "left").withColumn("c", F.coalesce("component_id", "id")).drop("component_id")
-        apart = here.groupBy("key").agg(
-            F.min("c").alias("low"),
-            F.max("c").alias("high"),
-            # the first star takes the smallest id, so that buckets of one group share their centre
-            F.min(F.struct((F.lit(0) if star == 0 else F.xxhash64("id", "key", F.lit(star))).alias("rank"), F.col("id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))).alias("centre"),
-        )
-        apart = apart.where("low <> high").select("key", "centre.a", "centre.an", "centre.ac")
-        if star < stars:
-            pairs = here.join(apart, "key").where(F.col("c") != F.col("ac")).where(fits(F.col("n"), F.col("an"))).select("a", F.col("id").alias("b"))
-        else:
-            left = cut(here.join(apart.select("key"), "key"))
-            other = left.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-            pairs = left.join(other, "key").where(F.col("c") < F.col("ac")).where(fits(F.col("n"), F.col("an"))).select("a", F.col("id").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if pairs.isEmpty():
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = cut(verified(pairs, sets, percent))
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-
-    of_class = classes.select("set_key", F.col("id"))
-    if labels is not None:
-        of_class = of_class.join(labels, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("id"))
+    fits = F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent
+    stars = members.where((F.col("id") != F.col("head.id")) & fits).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
+    labels = components(verified(cut(stars), sets, percent))
+    late = _apart(members, labels, sets, percent)
+    component = labels.select("id", F.col("component_id").alias("c"))
+    ends = late.join(component.withColumnRenamed("id", "a"), "a", "left").withColumn("x", F.coalesce("c", "a")).drop("c")
+    ends = ends.join(component.withColumnRenamed("id", "b"), "b", "left").select("x", F.coalesce("c", "b").alias("y"))
+    merged = components(ends, "x", "y").select(F.col("id").alias("c"), F.col("component_id").alias("m"))
+
+    of_class = classes.select("set_key", "id").join(component, "id", "left").select("set_key", F.coalesce("c", "id").alias("c"))
+    of_class = of_class.join(merged, "c", "left").select("set_key", F.coalesce("m", "c").alias("c"))
     told = made.select("doc_id", "n", "set_key").join(of_class, "set_key", "left")
-    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("id")).otherwise(F.col("doc_id"))
-    return told.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    component_id = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
+    return told.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
