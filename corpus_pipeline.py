@@ -1,10 +1,70 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again by the next.
+
+Toxic documents go; repeated line chunks are taken out of the texts (and documents that held nothing else
+go); one document of each group of near-duplicates stays; benchmark passages are taken out by dropping the
+documents that hold them; and the rest is sampled to the target mix. All stages but the last return the
+columns of `documents`.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docquarry.llm import decontaminate, line_dedup, minhash, mixing, toxicity
+from docquarry.llm.common import table, tables_folder
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents with a score below its threshold stay."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: all but the first occurrence of repeated chunks go; n_chars follows the text. A document
+    of which nothing but white space is left was a repetition and goes."""
+    told = line_dedup.line_dedup(docs).where("n_removed = 0 or text rlike '\\\\S'")
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return told.withColumn("n_chars", length).select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1, five words and a similarity of 0.8: the document with the smallest id of a group stays,
+    and once only."""
+    kept = minhash.near_duplicates(docs, k=5).where("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return known.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents that hold no window of a benchmark item stay."""
+    told = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return told.where("not contaminated").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: the documents drawn, with their topic, tokens and probability p."""
+    return mixing.mix(docs).where("kept").drop("kept")
+
+
+STAGES = [
+    ("toxicity", remove_toxic),
+    ("line_dedup", remove_repeated_lines),
+    ("near_duplicates", remove_near_duplicates),
+    ("decontamination", remove_benchmark),
+    ("mixing", mix_sources),
+]
+#: Stages 1 and 3 have no SQL form; tests hold run() against a brute-force version of each stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to documents."""
+    docs, folder = table(spark, sf_dir, "documents"), f"{tables_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
