@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.operators import checks, coverage, dedup, parse, report, search
+from docquarry.operators import assets, checks, coverage, dedup, generate, parse, report, search
 
-MODULES = (parse, search, dedup, coverage, checks, report)
+MODULES = (parse, search, dedup, coverage, checks, report, generate, assets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
