@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from docquarry.llm.common import cut, only, table
 
+#: How often a labeller may call a good text bad, at most: a bad vote is a finding, a good one its absence.
+FALSE_ALARM = 0.005
 #: Documents that the scorer is fitted on, at most; hashed dimensions; words whose hash a task remembers.
 SAMPLE, DIMS, MEMORY = 6_000, 1024, 200_000
 KEEP = 0.5
@@ -57,7 +59,7 @@ def votes(n: int, m: dict[str, float]) -> tuple[int, ...]:
     """-1 bad, 1 good, 0 nothing, from each labeller."""
     some, many = n >= 3, n >= 20
     return (
-        _vote(n, n < 5, n >= 40),
+        _vote(n, n < 1, n >= 40),
         _vote(0, some and m["repeated"] > 0.15, many and m["repeated"] < 0.03),
         _vote(0, many and m["distinct"] < (0.25 if n < 2000 else 0.1), many and m["distinct"] > 0.35),
         _vote(0, some and m["symbols"] > 0.04, some and m["symbols"] < 0.01),
@@ -74,17 +76,21 @@ LABELLERS = 9
 
 def agreement(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, tolerance: float = 1e-7) -> tuple[float, np.ndarray]:
     """Share of good texts, and [class, labeller, bad or good vote] probabilities of the votes that are cast,
-    by EM from the assumption that each labeller is right three times in four. Casting none says nothing.
-    Smoothed with a few votes of that assumption, so that no vote is impossible."""
+    by EM from the assumption that a labeller finds three bad texts in ten and rarely calls a good one bad.
+    That rate stays below FALSE_ALARM: without it, EM takes the labellers' common silence on good texts for
+    agreement that outvotes a single finding. Casting no vote says nothing. Smoothed with a few votes of the
+    assumption, so that no vote is impossible."""
     k = patterns.shape[1]
-    start = np.array([[[0.75, 0.25]] * k, [[0.25, 0.75]] * k])
-    prior, table_ = 0.5, start
+    start = np.array([[[0.3, 0.7]] * k, [[FALSE_ALARM, 1 - FALSE_ALARM]] * k])
+    prior, table_ = 0.8, start
     for _ in range(rounds):
         good = posterior(patterns, prior, table_)
         weight = np.stack([(1 - good) * counts, good * counts])
         prior_ = float((weight[1].sum() + 1) / (counts.sum() + 2))
         new = np.stack([[[(weight[c] * (patterns[:, j] == v)).sum() for v in (-1, 1)] for j in range(k)] for c in (0, 1)]) + 4 * start
         new /= new.sum(-1, keepdims=True)
+        alarm = np.minimum(new[1, :, 0], FALSE_ALARM)
+        new[1] = np.stack([alarm, 1 - alarm], axis=-1)
         moved = abs(prior_ - prior) + np.abs(new - table_).max()
         prior, table_ = prior_, new
         if moved < tolerance:
