@@ -62,10 +62,16 @@ def keywords(c: Column, most: int = 8) -> Column:
     return F.slice(F.array_distinct(tokens(c, QUERY_STOP)), 1, most)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside lambdas (there, Spark would
+    compute a plain expression again for every element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def adjacent(words: Column, by: str) -> Column:
     """Pairs of neighbours, joined."""
-    pairs = F.transform(words, lambda w, i: F.concat(w, F.lit(by), F.get(words, i + 1)))
-    return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+    pairs = lambda w: F.transform(w, lambda x, i: F.concat(x, F.lit(by), F.get(w, i + 1)))
+    return let(words, lambda w: F.slice(pairs(w), F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))))
 
 
 def more_keywords(c: Column, base: Column, most: int = 10) -> Column:
@@ -89,8 +95,7 @@ def without_commas(c: Column) -> Column:
 
 def grounded(numbers: Column, evidence: Column) -> Column:
     """Whether every number occurs in the evidence, commas aside."""
-    hay = without_commas(evidence)
-    return F.forall(numbers, lambda n: F.contains(hay, without_commas(n)))
+    return let(without_commas(evidence), lambda hay: F.forall(numbers, lambda n: F.contains(hay, without_commas(n))))
 
 
 def names_location(c: Column) -> Column:
