@@ -4,8 +4,8 @@ Every labeller votes good, bad or nothing on a text. Votes are counted by patter
 3 to the number of labellers patterns, whatever the corpus), and expectation-maximisation over those counts
 estimates how each labeller votes on good and on bad texts, and how many are good. The posterior of its
 pattern is a document's weak label. The labels train a logistic scorer on hashed features: the shapes of its
-words and the document's measures in steps. It is fitted on at most `SAMPLE` documents, those with the lowest
-hash of their id; counting and scoring cover all. Human labels aren't read.
+words and the document's measures in steps. It is fitted on at most `SAMPLE` documents, drawn by a hash of their
+id; counting and scoring cover all. Human labels aren't read.
 
 Defined results: null is the empty text, on which the length labeller alone votes; repeated rows get equal
 scores; texts are read whole; an empty table gives no rows; other columns are ignored.
@@ -26,7 +26,7 @@ from docquarry.llm.common import cut, only, table
 
 #: How often a labeller may call a good text bad, at most: a bad vote is a finding, a good one its absence.
 FALSE_ALARM = 0.005
-#: Documents that the scorer is fitted on, at most; hashed dimensions; words whose hash a task remembers.
+#: Documents that the scorer is fitted on, at most (drawn by hash, about twice as many are gathered); hashed dimensions; words whose hash a task remembers.
 SAMPLE, DIMS, MEMORY = 6_000, 1024, 200_000
 KEEP = 0.5
 _SYMBOL = re.compile(r"[#$%&*~^<>{}\[\]\\|=_+@]")
@@ -196,7 +196,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, np.
                 out.append((reader.features(len(words), counts, m).tobytes(), float(posterior(np.array([vote]), prior, table_)[0])))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.float64())], ["x", "y"])
 
-    chosen = only(docs, "doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
+    # by a hash threshold first: what is gathered doesn't grow with the number of partitions
+    total = sum(r["n"] for r in rows)
+    share = min(1.0, (2 * sample + 1000) / total)
+    drawn = only(docs, "doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    chosen = drawn.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
     seen = cut(chosen).select("text").mapInArrow(run, "x binary, y double").collect()
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in seen])
     return _fit(x, np.array([r["y"] for r in seen])), prior, table_
