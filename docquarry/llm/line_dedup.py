@@ -8,6 +8,10 @@ opens and closes its own chunk. A chunk is eligible when it is such a passage, o
 the repeated run are matched outwards too, up to the next repeated chunk on either side. Every occurrence
 but the first (smallest document id, then line) is removed, once its bytes equal those of the first.
 
+Boundaries may fall anywhere in a passage of few lines, so every run of lines with `long_words` words or more
+is matched too, wherever chunks close: the shortest such runs from each line on and up to each line cover
+each line of any longer one. An occurrence that overlaps the first of its run in one document stays.
+
 Line hashes, chunk table and neighbour matching hold no text: one narrow row a document, written once.
 Text is moved twice, to read the bytes of repeated segments and to rebuild the documents.
 
@@ -19,7 +23,7 @@ through, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import cut, let, only, table
@@ -76,6 +80,46 @@ def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
     return both.where(F.col("first") != F.col("last")).drop("last")
 
 
+def _passages(lines: DataFrame, long_words: int) -> DataFrame:
+    """Places of repeated runs of lines of long_words words or more: (key, doc_id, pos, len, first). Only lines
+    that occur again can be part of one; matched are the shortest runs from each line on and up to each line."""
+    line = lines.select("doc_id", F.posexplode(F.arrays_zip("h", "w")).alias("pos", "x")).select("doc_id", "pos", "x.*")
+    again = line.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    within = line.join(again, "h")
+    streak = Window.partitionBy("doc_id", "streak")
+    within = within.withColumn("streak", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
+    within = within.withColumn("upto", F.sum("w").over(streak.orderBy("pos"))).withColumn("all", F.sum("w").over(streak)).where(F.col("all") >= long_words)
+
+    # Forward, the first line at which the words reach those before a line plus long_words; backward, the last
+    # line before which there are long_words fewer than up to a line. Both by one running maximum.
+    before = F.col("upto") - F.col("w")
+    event = lambda way, rank, asks, best: F.struct(F.lit(way).alias("way"), rank.alias("rank"), F.lit(asks).alias("asks"), best.alias("best"))
+    none = F.lit(None).cast("int")
+    events = F.array(event("f", -F.col("upto"), 0, -F.col("pos")), event("f", -before - long_words, 1, none), event("b", before, 0, F.col("pos")), event("b", F.col("upto") - long_words, 1, none))
+    reached = F.max("best").over(Window.partitionBy("doc_id", "streak", "way").orderBy("rank", "asks").rowsBetween(Window.unboundedPreceding, 0))
+    asked = within.select("doc_id", "streak", "pos", "h", F.explode(events).alias("e")).select("doc_id", "streak", "pos", "h", "e.*").withColumn("reached", reached).where("asks = 1")
+    forward = F.col("way") == "f"
+    span = F.struct(F.when(forward, F.col("pos")).otherwise(F.col("reached")).alias("lo"), F.when(forward, -F.col("reached")).otherwise(F.col("pos")).alias("hi"))
+    runs = asked.groupBy("doc_id", "streak").agg(
+        F.array_sort(F.collect_list(F.when(forward, F.struct("pos", "h")))).alias("s"), F.collect_set(F.when(F.col("reached").isNotNull(), span)).alias("spans")
+    )
+    runs = runs.select("doc_id", F.get("s", F.lit(0))["pos"].alias("start"), F.col("s.h").alias("h"), F.explode("spans").alias("x"))
+    size = F.col("x.hi") - F.col("x.lo") + 1
+    placed = cut(runs.select("doc_id", F.col("x.lo").alias("pos"), size.alias("len"), _key(F.concat(F.array(F.lit(-1)), F.slice("h", F.col("x.lo") - F.col("start") + 1, size))).alias("key")))
+    found = placed.join(_repeated(placed, "key"), "key").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("pos") >= F.col("first.pos") + F.col("len")))
+
+    # Overlapping runs that repeat the same place become one segment, so that its bytes are read once.
+    found = found.select("doc_id", "pos", (F.col("pos") + F.col("len")).alias("stop"), F.col("first.doc_id").alias("of"), (F.col("pos") - F.col("first.pos")).alias("shift"))
+    same = Window.partitionBy("doc_id", "of", "shift").orderBy("pos", "stop")
+    fresh = F.coalesce(F.col("pos") > F.max("stop").over(same.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    found = found.withColumn("fresh", fresh).withColumn("part", F.sum(F.col("fresh").cast("int")).over(same.rowsBetween(Window.unboundedPreceding, 0)))
+    found = found.groupBy("doc_id", "of", "shift", "part").agg(F.min("pos").alias("pos"), F.max("stop").alias("stop"))
+    found = found.select("doc_id", "pos", (F.col("stop") - F.col("pos")).alias("len"), F.struct(F.col("of").alias("doc_id"), (F.col("pos") - F.col("shift")).alias("pos")).alias("first"))
+    found = found.withColumn("key", _hash60(F.concat_ws(",", F.lit("p"), F.col("first.pos").cast("string"), F.col("len").cast("string"), F.col("first.doc_id").cast("string"))))
+    places = F.array(F.struct("doc_id", "pos"), F.col("first"))
+    return found.select("key", "len", "first", F.explode(places).alias("at")).select("key", "at.*", "len", "first")
+
+
 def segments(docs: DataFrame, divisor: int = DIVISOR, long_words: int = LONG_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """Places of repeated segments by hash: (key, doc_id, pos, len, first)."""
     lines = cut(line_table(docs))
@@ -114,7 +158,8 @@ def segments(docs: DataFrame, divisor: int = DIVISOR, long_words: int = LONG_WOR
     near = near.select("doc_id", "pos", _hash60(F.concat_ws(",", F.col("way"), F.col("run").cast("string"), F.col("line").cast("string"))).alias("key"))
     grown = near.join(_repeated(near, "key"), "key").withColumn("len", F.lit(1))
     columns = ("key", "doc_id", "pos", "len", "first")
-    return found.select(*columns).unionByName(grown.select(*columns)).distinct()
+    passages = _passages(lines, long_words)
+    return found.select(*columns).unionByName(grown.select(*columns)).unionByName(passages.select(*columns)).distinct()
 
 
 def removals(docs: DataFrame, **settings: int) -> DataFrame:

@@ -105,6 +105,22 @@ def test_line_dedup_follows_a_passage_of_several_lines_to_its_ends(spark):
     assert found[2].text.split("\n") == [prose(3, 8), prose(4, 8), prose(5, 10)]
 
 
+def test_line_dedup_finds_passages_of_few_short_lines(spark):
+    passages = {n: [prose(1000 * n + i, 60 // n + 1) for i in range(n)] for n in range(2, 7)}
+    docs = [(10 * k + n, "\n".join([prose(5000 + 10 * k + n, 11), *p, prose(7000 + 10 * k + n, 12)])) for k in range(1, 9) for n, p in passages.items()]
+    found = {r.doc_id: r.text.split("\n") for r in line_dedup.line_dedup(frame(spark, docs)).collect()}
+    for i, text in docs:
+        lines = text.split("\n")
+        assert found[i] == (lines if i < 20 else [lines[0], lines[-1]])
+
+
+def test_line_dedup_keeps_the_first_of_overlapping_runs(spark):
+    docs = [(1, "\n".join([prose(1, 20)] * 9)), (2, "\n".join([prose(2, 20), prose(3, 20), prose(4, 9)])), (3, "\n".join([prose(2, 20), prose(5, 20), prose(3, 20)]))]
+    found = {r.doc_id: r.text.split("\n") for r in line_dedup.line_dedup(frame(spark, docs)).collect()}
+    assert prose(1, 20) in found[1]
+    assert found[2] == docs[1][1].split("\n") and found[3] == docs[2][1].split("\n")  # repeated lines, but no repeated run of 50 words
+
+
 def test_line_dedup_edges(spark):
     docs = frame(spark, [*EDGES, (20, "short\nshort\nshort"), (21, "short\nshort\nshort")])
     out = line_dedup.line_dedup(docs)
