@@ -216,11 +216,12 @@ def q_flags(spark, d):
     )
 
 
-_CITED = "regexp_replace(substr(text, 1, 300), '([.] )', case when doc_id % 3 = 0 then '. [1] ' when doc_id % 3 = 1 then '. [2] [1] ' else '. ' end{g}) || case when doc_id % 5 = 0 then ' [x]' when doc_id % 7 = 0 then ' (3)' else ' [1]' end"
+#: The SQL still reads the first 300 characters only; the query reads whole texts.
+_CITED = "regexp_replace({t}, '([.] )', case when doc_id % 3 = 0 then '. [1] ' when doc_id % 3 = 1 then '. [2] [1] ' else '. ' end{g}) || case when doc_id % 5 = 0 then ' [x]' when doc_id % 7 = 0 then ' (3)' else ' [1]' end"
 
 
 def _cited(spark, d):
-    return views.table(spark, d, "documents").select("doc_id", F.expr(_CITED.format(g="")).alias("cited"))
+    return views.table(spark, d, "documents").select("doc_id", F.expr(_CITED.format(t="text", g="")).alias("cited"))
 
 
 def q_citations(spark, d):
@@ -285,7 +286,7 @@ from debug_items""",
     "calc_fault": f"with {SECTION_ITEMS} select ord, null::varchar as fault, 'a,b' as keys from debug_items where has_derived",
     "text_flags": f"""select doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) >= 1 and len(list_filter(list_filter(string_split(text || chr(10) || '|---|---', chr(10)), lambda x: trim(x) <> '')[1:8], lambda x: starts_with(x, '|---'))) > 0 as is_table,
   contains(text, '|') and contains(text, chr(10)) as has_rows, regexp_matches(text, {_LOC}) as names_location, 'en' as language, 'en' as service_language from documents""",
-    "citation_check": f"""with c as (select doc_id, {_CITED.format(g=", 'g'")} as s from documents),
+    "citation_check": f"""with c as (select doc_id, {_CITED.format(t="substr(text, 1, 300)", g=", 'g'")} as s from documents),
 t as (select doc_id, {_SP.format('s')} as s, list_transform(regexp_extract_all(s, '\\[([0-9]+)\\]', 1), lambda x: x::bigint) as e from c),
 m as (select *, regexp_replace(s, '\\[[0-9]+\\]', '', 'g') as rest,
   regexp_replace(s, '[.!?;]\\s*\\[[0-9]+\\]', '', 'g') as uncited from t)

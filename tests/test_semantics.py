@@ -184,3 +184,10 @@ def test_writer_keeps_first_of_each_key(spark):
     rows = spark.createDataFrame([(1, "Q?", "a"), (2, "q?", "b"), (3, "R", ""), (4, "S", "c")], "ord long, question string, answer string")
     old = spark.createDataFrame([("s",)], "question string")
     assert [r.ord for r in report.write_new(old, rows).collect()] == [1]
+
+
+def test_citation_queries_read_whole_texts(spark, tmp_path):
+    text = "x" * 400 + ". End [stray]."
+    spark.createDataFrame([(6, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert checks.q_citations(spark, str(tmp_path)).first().fault == "malformed_brackets"
+    assert "x" * 400 in str(generate.q_repair(spark, str(tmp_path)).first())
