@@ -6,26 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.operators import parse, views
-from docquarry.plans.lineage import cut
+from docquarry.plans.lineage import cut, passing
 
 QUOTA = 0.35
-DEEPEST = 64
 
 
 def top_ancestors(nodes: DataFrame) -> DataFrame:
-    """(id, top) for nodes (id, parent_id): the last node reached going up while the parent is known. Pointers
-    are doubled each round, so a chain of n takes log2(n) joins; a node on a cycle keeps the smallest id it
-    has seen."""
-    known = nodes.select(F.col("id").alias("k"))
-    up = nodes.select("id", "parent_id").join(known, F.col("parent_id") == F.col("k"), "left")
-    hop = cut(up.select("id", F.coalesce("k", "id").alias("top")))
-    for _ in range(DEEPEST.bit_length()):
-        ahead = hop.select(F.col("id").alias("top"), F.col("top").alias("next"))
-        hop2 = cut(hop.join(ahead, "top").select("id", F.col("next").alias("top"), (F.col("next") != F.col("top")).alias("moved")))
-        if hop2.where("moved").isEmpty():
-            break
-        hop = hop2.select("id", "top")
-    return hop.select("id", "top")
+    """(id, top) for nodes (id, parent_id): the last node reached going up while the parent is known; on a cycle,
+    and below one, the smallest id of the cycle. Pointers are doubled each round, so a chain of n takes log2(n)
+    joins; what hasn't ended when 2 ** rounds exceeds the number of nodes has gone round a cycle."""
+    with passing(nodes.sparkSession) as keep:
+        rows = nodes.select("id", "parent_id").distinct()
+        up = rows.join(rows.select(F.col("id").alias("k")).distinct(), F.col("parent_id") == F.col("k"), "left")
+        hop = cut(up.select("id", F.coalesce("k", "id").alias("top"), F.coalesce("k", "id").alias("low"), F.col("k").isNull().alias("ended")))
+        for _ in range(hop.count().bit_length() + 1):
+            if hop.where("not ended").isEmpty():
+                return keep(hop.select("id", "top"))
+            ahead = hop.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("low").alias("then"), F.col("ended").alias("there"))
+            hop = cut(hop.join(ahead, "top").select("id", F.col("next").alias("top"), F.least("low", "then").alias("low"), F.col("there").alias("ended")))
+        # each node of a cycle has seen all of it; a chain that leads into one points at a node of it
+        cycle = hop.select(F.col("id").alias("top"), F.col("low").alias("cycle"))
+        return keep(hop.join(cycle, "top").select("id", F.when(F.col("ended"), F.col("top")).otherwise(F.col("cycle")).alias("top")))
 
 
 def coverage(nodes: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFrame]:

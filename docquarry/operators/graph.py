@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.plans.lineage import cut
+from docquarry.plans.lineage import cut, passing
 
 MAX_ROUNDS = 60
 
@@ -22,32 +22,33 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
 
     Self-loops make a node known without linking it. No edges give no rows. Null ends are ignored.
     """
-    pairs = edges.select(F.col(src).cast("long").alias("u"), F.col(dst).cast("long").alias("v")).where(
-        F.col("u").isNotNull() & F.col("v").isNotNull()
-    )
-    ends = cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = ends.select(F.col("u").alias("id"), F.col("u").alias("root")).distinct()
-    live = ends.where("u <> v")
-    for step in range(MAX_ROUNDS):
-        if live.isEmpty():
-            break
-        rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(step)) if step % 2 else F.lit(0).cast("long")).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
-        near = live.groupBy("u").agg(F.min(rank("v")).alias("near"))
-        first = near.select("u", F.least(F.col("near"), rank("u"))["n"].alias("p"))
-        second = first.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        parent = cut(first.join(second, "p").select("u", F.col("pp").alias("p")))
-        labels = cut(
-            labels.join(parent.withColumnRenamed("u", "root"), "root", "left").select("id", F.coalesce("p", "root").alias("root"))
+    with passing(edges.sparkSession) as keep:
+        pairs = edges.select(F.col(src).cast("long").alias("u"), F.col(dst).cast("long").alias("v")).where(
+            F.col("u").isNotNull() & F.col("v").isNotNull()
         )
-        live = cut(
-            live.join(parent, "u")
-            .select(F.col("p").alias("pu"), "v")
-            .join(parent.select(F.col("u").alias("v"), F.col("p").alias("pv")), "v")
-            .where("pu <> pv")
-            .select(F.col("pu").alias("u"), F.col("pv").alias("v"))
-            .distinct()
-        )
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    smallest = labels.groupBy("root").agg(F.min("id").alias("component_id"))
-    return cut(labels.join(smallest, "root").select("id", "component_id"))
+        ends = cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+        labels = ends.select(F.col("u").alias("id"), F.col("u").alias("root")).distinct()
+        live = ends.where("u <> v")
+        for step in range(MAX_ROUNDS):
+            if live.isEmpty():
+                break
+            rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(step)) if step % 2 else F.lit(0).cast("long")).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
+            near = live.groupBy("u").agg(F.min(rank("v")).alias("near"))
+            first = near.select("u", F.least(F.col("near"), rank("u"))["n"].alias("p"))
+            second = first.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+            parent = cut(first.join(second, "p").select("u", F.col("pp").alias("p")))
+            labels = cut(
+                labels.join(parent.withColumnRenamed("u", "root"), "root", "left").select("id", F.coalesce("p", "root").alias("root"))
+            )
+            live = cut(
+                live.join(parent, "u")
+                .select(F.col("p").alias("pu"), "v")
+                .join(parent.select(F.col("u").alias("v"), F.col("p").alias("pv")), "v")
+                .where("pu <> pv")
+                .select(F.col("pu").alias("u"), F.col("pv").alias("v"))
+                .distinct()
+            )
+        else:
+            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        smallest = labels.groupBy("root").agg(F.min("id").alias("component_id"))
+        return keep(labels.join(smallest, "root").select("id", "component_id"))

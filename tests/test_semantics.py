@@ -80,9 +80,13 @@ def test_coverage(spark):
     assert coverage.violations(counts).count() == 0 and coverage.violations(counts, 0.3).count() == 2
 
 
-def test_ancestors_of_a_long_chain(spark):
-    nodes = spark.createDataFrame([(f"n{i}", f"n{i - 1}" if i else None) for i in range(50)] + [("x", "gone")], "id string, parent_id string")
-    assert {r.top for r in coverage.top_ancestors(nodes).collect()} == {"n0", "x"}
+def test_ancestors_of_long_chains_and_cycles(spark):
+    rows = [(f"n{i}", f"n{i - 1}" if i else None) for i in range(300)] + [("x", "gone")]
+    rows += [("b2", "b1"), ("b1", "b2"), ("c3", "c1"), ("c1", "c2"), ("c2", "c3"), ("a0", "c2"), ("s", "s"), *((f"q{i}", f"q{(i + 1) % 4}") for i in range(4))]
+    found = {r.id: r.top for r in coverage.top_ancestors(spark.createDataFrame(rows, "id string, parent_id string")).collect()}
+    assert {found[f"n{i}"] for i in range(300)} == {"n0"} and found["x"] == "x"
+    assert [found[i] for i in ("b1", "b2", "c1", "c2", "c3", "a0", "s")] == ["b1", "b1", "c1", "c1", "c1", "c1", "s"]
+    assert {found[f"q{i}"] for i in range(4)} == {"q0"}
 
 
 def test_schedule():
