@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.plans.lineage import cut, tables_folder
+from docquarry.plans.lineage import cut, passing, remove, tables_folder
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "let", "only", "small", "table", "tables_folder", "words"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "fresh", "let", "only", "passing", "remove", "small", "table", "tables_folder", "words"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: a run of ASCII letters, ASCII digits and any non-ASCII characters (input already lower-cased).
@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-cases A-Z only; null becomes the empty string."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """Lower-cases A-Z only; null becomes the empty string. Texts of ASCII alone take the short way."""
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def words(text: Column) -> Column:
@@ -32,6 +33,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once, also where body uses it inside lambdas (there, Spark would
     compute a plain expression again for every element)."""
