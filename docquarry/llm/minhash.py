@@ -17,8 +17,8 @@ No bucket is gathered in one task: stars are dealt by (centre, salt), components
 and a centre's or stray's set travels once for each of those. Sets are made for candidates only. What stays
 quadratic is arithmetic inside tasks, between the strays and the members of one component.
 
-Defined results: null, empty and blank texts have an empty set and link with nothing; rows of one id stand
-for one document; a null id is its own component (null) and kept; ties go to the smallest id; texts are
+Defined results: null, empty and blank texts have an empty set and link with nothing; rows of one id are one
+document, which is linked by each of its texts (n_shingles is a row's own); a null id is its own component (null) and kept; ties go to the smallest id; texts are
 processed whole; an empty table gives no rows; other columns are ignored.
 """
 
@@ -33,9 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import shingles
-from docquarry.llm.common import only, table
+from docquarry.llm.common import cut, only, passing, table
 from docquarry.operators.graph import components
-from docquarry.plans.lineage import cut
 
 BINS = 512
 ROWS = 8
@@ -171,32 +170,47 @@ def _apart(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     return full.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInArrow(run, "a long, b long")
 
 
+def _renamed(made: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(x, y): components that rows of one id with different sets lie in."""
+    several = made.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("doc_id")
+    rows = made.join(several, "doc_id").join(classes.select("set_key", "id"), "set_key").join(labels, "id", "left")
+    rows = rows.select("doc_id", F.coalesce("component_id", "id").alias("y")).distinct()
+    return rows.join(rows.groupBy("doc_id").agg(F.min("y").alias("x")), "doc_id").where("x <> y").select("x", "y")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     docs = only(docs, "doc_id", "text")
-    made = cut(sketched(docs, k, bins, rows))
-    known = made.where("n > 0 and doc_id is not null")
-    classes = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    spread = classes.select("id", "n", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("tail")).where("head.id <> tail")
-    members = cut(spread.join(shared.select("key", "head"), "key"))
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = cut(sets_of(docs.join(wanted, "doc_id", "left_semi"), k).distinct())
-
-    fits = F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent
-    stars = members.where((F.col("id") != F.col("head.id")) & fits).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
-    labels = components(verified(cut(stars), sets, percent))
-    late = _apart(members, labels, sets, percent)
-    component = labels.select("id", F.col("component_id").alias("c"))
-    ends = late.join(component.withColumnRenamed("id", "a"), "a", "left").withColumn("x", F.coalesce("c", "a")).drop("c")
-    ends = ends.join(component.withColumnRenamed("id", "b"), "b", "left").select("x", F.coalesce("c", "b").alias("y"))
-    merged = components(ends, "x", "y").select(F.col("id").alias("c"), F.col("component_id").alias("m"))
-
-    of_class = classes.select("set_key", "id").join(component, "id", "left").select("set_key", F.coalesce("c", "id").alias("c"))
-    of_class = of_class.join(merged, "c", "left").select("set_key", F.coalesce("m", "c").alias("c"))
-    told = made.select("doc_id", "n", "set_key").join(of_class, "set_key", "left")
-    component_id = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
-    return told.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+    with passing(docs.sparkSession) as keep:
+        with passing(docs.sparkSession) as pass_on:
+            made = cut(sketched(docs, k, bins, rows))
+            sizes = pass_on(made.select("doc_id", "n", "set_key"))
+            known = made.where("n > 0 and doc_id is not null")
+            first = F.min(F.struct("doc_id", "bands")).alias("first")
+            banded = cut(known.groupBy("set_key").agg(F.first("n").alias("n"), first).select("set_key", "n", F.col("first.doc_id").alias("id"), "first.bands"))
+            classes = pass_on(banded.select("set_key", "id"))
+            spread = banded.select("id", "n", F.explode("bands").alias("key"))
+            shared = spread.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("tail")).where("head.id <> tail")
+            members = pass_on(spread.join(shared.select("key", "head"), "key"))
+        wanted = members.select(F.col("id").alias("doc_id")).distinct()
+        sets = cut(sets_of(docs.join(wanted, "doc_id", "left_semi"), k).distinct())
+
+        fits = F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent
+        stars = members.where((F.col("id") != F.col("head.id")) & fits).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
+        labels = components(verified(cut(stars), sets, percent))
+        late = _apart(members, labels, sets, percent)
+        component = labels.select("id", F.col("component_id").alias("c"))
+        ends = late.join(component.withColumnRenamed("id", "a"), "a", "left").withColumn("x", F.coalesce("c", "a")).drop("c")
+        ends = ends.join(component.withColumnRenamed("id", "b"), "b", "left").select("x", F.coalesce("c", "b").alias("y"))
+        ends = ends.unionByName(_renamed(sizes.where("n > 0 and doc_id is not null"), classes, labels))
+        merged = components(ends, "x", "y").select(F.col("id").alias("c"), F.col("component_id").alias("m"))
+
+        of_class = classes.select("set_key", "id").join(component, "id", "left").select("set_key", F.coalesce("c", "id").alias("c"))
+        of_class = of_class.join(merged, "c", "left").select("set_key", F.coalesce("m", "c").alias("c"))
+        told = sizes.join(of_class, "set_key", "left")
+        component_id = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
+        told = told.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+        return keep(told)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

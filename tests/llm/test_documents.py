@@ -73,6 +73,8 @@ def test_near_duplicates_edges(spark):
     assert by[6].component_id == 5 and not by[6].kept and by[8].kept
     assert by[None].component_id is None and by[None].kept
     assert minhash.near_duplicates(frame(spark, []), k=4).count() == 0
+    names = [(5, prose(1, 40)), (5, prose(2, 40)), (3, prose(2, 40)), (9, prose(1, 40)), (7, prose(3, 40))]
+    assert rows(minhash.near_duplicates(frame(spark, names), k=4).select("doc_id", "component_id")) == [(3, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
     assert minhash.near_duplicates(frame(spark, EDGES[:3]), k=4).where("kept").count() == 3
 
 
