@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import decontaminate, line_dedup, minhash, mixing, toxicity
-from docquarry.llm.common import table, tables_folder
+from docquarry.llm.common import passing, remove, table, tables_folder
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that hold no window of a benchmark item stay."""
-    told = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return told.where("not contaminated").select(*docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{tables_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """Applies the stages to documents. What a stage read goes when its output is written."""
+    docs, folder, read = table(spark, sf_dir, "documents"), f"{tables_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        if read:
+            remove(spark, read)
+        read = f"{folder}/{name}"
+        docs = spark.read.parquet(read)
     return docs
