@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docquarry.plans.lineage import cut, passing, remove, tables_folder
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "fresh", "let", "only", "passing", "remove", "small", "table", "tables_folder", "words"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "fresh", "join_keys", "let", "only", "passing", "remove", "small", "table", "tables_folder", "words"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: a run of ASCII letters, ASCII digits and any non-ASCII characters (input already lower-cased).
@@ -47,6 +47,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: At most so many keys can each have more than a HOT-th of the rows.
+HOT = 10_000
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined with `keys`, which has one row a key and in n how many of the `total` rows have it. The rows
+    of hot keys (of which there are fewer than HOT) meet a broadcast table where they are; the others shuffle."""
+    hot = F.col("n") * HOT > total
+    common = keys.where(hot)
+    rare = rows.join(F.broadcast(common.select(key)), key, "left_anti").join(keys.where(~hot).drop("n"), key)
+    return rows.join(F.broadcast(common.drop("n")), key).unionByName(rare)
+
+
 def small(df: DataFrame, rows: int = 1_000_000) -> bool:
     """Whether a table has at most so many rows; counts no further than that."""
     return df.limit(rows + 1).count() <= rows

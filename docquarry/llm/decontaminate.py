@@ -143,7 +143,7 @@ def proximity(docs: DataFrame, phrase: str, span: int) -> DataFrame:
     latest place of every term before it."""
     terms = [r.term for r in docs.sparkSession.range(1).select(F.explode(F.array_distinct(words(F.lit(phrase)))).alias("term")).collect()]
     listed = only(docs, "doc_id", "text").withColumn("key", _key()).select("doc_id", "key", F.posexplode(words(F.col("text"))).alias("pos", "term")).where(F.col("term").isin(terms))
-    onward = Window.partitionBy("key", "doc_id").orderBy("pos").rowsBetween(0, Window.unboundedFollowing)
+    onward = Window.partitionBy("key", "doc_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
     last = F.greatest(F.lit(-1), F.lit(-1), *(F.min(F.when(F.col("term") == t, F.col("pos"))).over(onward) for t in terms))
     every = F.lit(True)
     for t in terms:

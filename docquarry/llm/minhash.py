@@ -186,8 +186,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: i
             made = cut(sketched(docs, k, bins, rows))
             sizes = pass_on(made.select("doc_id", "n", "set_key"))
             known = made.where("n > 0 and doc_id is not null")
-            first = F.min(F.struct("doc_id", "bands")).alias("first")
-            banded = cut(known.groupBy("set_key").agg(F.first("n").alias("n"), first).select("set_key", "n", F.col("first.doc_id").alias("id"), "first.bands"))
+            banded = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
             classes = pass_on(banded.select("set_key", "id"))
             spread = banded.select("id", "n", F.explode("bands").alias("key"))
             shared = spread.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("tail")).where("head.id <> tail")
