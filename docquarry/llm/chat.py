@@ -166,14 +166,41 @@ def read_loss(formatted: Column, spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
 
 
+#: How conversations are recorded: each layout for one in so many, by a hash of the id, where it can hold the turns.
+RECORDED = ("messages", "exchange", "instruction_input", "instruction", "completion", "response", "question")
+
+
 def conversation_records(rows: DataFrame) -> DataFrame:
-    """(conv_id, record): rows (conv_id, turn, role, text) as one record of the messages layout each."""
+    """(conv_id, record): rows (conv_id, turn, role, text) as one record each, as sources of different kinds would
+    deliver them. Which layout is the conversation's depends on its id; what the layout can't hold (other turns
+    than a user's and an assistant's, perhaps after a system's; roles that would be renamed) becomes messages."""
     said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = only(rows, "conv_id", "turn", "role", "text").groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("rows"))
-    message = lambda r: F.struct(r["role"].alias("role"), r["text"].alias("content"), F.lit(None).cast("string").alias("from"), F.lit(None).cast("string").alias("value"))
+    own = dict(zip(ROLES.values(), ROLES, strict=True)) | {ASSISTANT: "gpt"}
+    role = F.transform("rows", lambda r: r["role"])
+    system = F.get("rows", F.lit(0))["role"] == "system"
+    rest = F.when(system, F.slice("rows", 2, 1_000_000_000)).otherwise(F.col("rows"))
+    plain = (F.size(rest) == 2) & (F.get(rest, F.lit(0))["role"] == "user") & (F.get(rest, F.lit(1))["role"] == ASSISTANT)
+    asked, answer = F.get(rest, F.lit(0))["text"], F.get(rest, F.lit(1))["text"]
+    cut_at = F.position(F.lit("\n\n"), asked)
+    none = F.lit(None).cast("string")
+    turn = lambda **c: F.struct(*(c.get(n, none).alias(n) for n in ("role", "content", "from", "value")))
+    renamed = lambda r: F.coalesce(*(F.when(r == a, b) for a, b in own.items()), r)
+    head = F.when(system, F.get("rows", F.lit(0))["text"])
+    fields = {
+        "messages": (F.lit(True), {"messages": F.transform("rows", lambda r: turn(role=r["role"], content=r["text"]))}),
+        "exchange": (~F.exists(role, lambda r: r.isin(*ROLES)), {"conversations": F.transform("rows", lambda r: turn(**{"from": renamed(r["role"]), "value": r["text"]}))}),
+        "instruction_input": (plain & (cut_at > 0), {"system": head, "instruction": F.substr(asked, F.lit(1), cut_at - 1), "input": F.substr(asked, cut_at + 2), "output": answer}),
+        "instruction": (plain, {"system": head, "instruction": asked, "output": answer}),
+        "completion": (plain, {"system": head, "prompt": asked, "completion": answer}),
+        "response": (plain, {"system": head, "prompt": asked, "response": answer}),
+        "question": (plain, {"system": head, "question": asked, "answer": answer}),
+    }
     empty = F.from_json(F.lit("{}"), RECORD)
-    fields = [n for n in FIELDS if n != "messages"]
-    return grouped.select("conv_id", F.struct(F.transform("rows", message).alias("messages"), *(empty[n].alias(n) for n in fields)).alias("record"))
+    record = lambda filled: F.struct(*(F.coalesce(filled[n], empty[n]).alias(n) if n in filled else empty[n].alias(n) for n in FIELDS))
+    chosen = F.pmod(F.xxhash64("conv_id"), F.lit(len(RECORDED)))
+    picked = F.coalesce(*(F.when((chosen == i) & fields[name][0], record(fields[name][1])) for i, name in enumerate(RECORDED)), record(fields["messages"][1]))
+    return grouped.select("conv_id", picked.alias("record"))
 
 
 PROBE = "</s>[INST] ok [/INST]"

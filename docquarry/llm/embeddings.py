@@ -3,9 +3,10 @@
 Two vectors link when their labels are equal and their cosine is at least `cosine`; for normalised vectors
 that is a Euclidean distance of at most eps = sqrt(2 - 2 * cosine). Normalised vectors are rotated onto
 principal axes (distances stay) and sorted by the eps-wide grid cells of the leading ones. The sorted
-sequence is cut into blocks with a bounding box each. Joining descends: intervals of blocks, then blocks,
-then halves of blocks; whatever lies further apart than eps is skipped whole, and what is left is compared
-by the exact cosine in double precision. An interval never mixes labels.
+sequence is cut into blocks with a bounding box each; runs of FAN blocks are intervals, runs of FAN intervals
+larger ones, up to one for each task's part of the sequence. Joining descends from pairs of the largest to
+blocks, then to halves of blocks; whatever lies further apart than eps is skipped whole, and what is left is
+compared by the exact cosine in double precision. An interval never mixes labels.
 
 The axes are fitted to the second moments of all vectors (a matrix of dim * dim, summed in two steps).
 Equal vectors form a class that is compared once and counts as often as it occurs. A pair of blocks returns
@@ -14,28 +15,33 @@ output grows with the vectors, not with the pairs. A block with many partners is
 The comparisons within a dense group are quadratic in its classes: n_links asks for each of them.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without
-a label, link with nothing (n_links 0, their own component); vectors of different length don't link; repeated
-rows of one id and vector are one vector; null ids are compared with nothing; an empty table gives no rows;
-other columns are ignored.
+a label, link with nothing (n_links 0, their own component); vectors of different length don't link; labels of
+any type are compared as they are; repeated rows of one id and vector are one vector; rows of one id with
+different vectors are vectors of their own; null ids are compared with nothing; of several smallest rows the
+smallest id names a component; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import cut, only, table
+from docquarry.llm.common import cut, only, passing, table
 from docquarry.operators.graph import components
 
 COSINE = 0.98
-#: Vectors a block; blocks an interval; vectors below which halving stops.
+#: Vectors a block; log2 of the blocks an interval, and of the intervals a larger one; vectors below which halving stops.
 BLOCK = 256
-INTERVAL = 32
+FAN = 5
 LEAF = 64
 #: Leading axes that the order and the bounding boxes use.
 AXES = 8
@@ -43,7 +49,7 @@ SALTS = 16
 _LO, _HI = [f"lo{i}" for i in range(AXES)], [f"hi{i}" for i in range(AXES)]
 
 
-def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[int, int | None, int | None, np.ndarray | None]]:
+def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[int, int | None, str | None, np.ndarray | None]]:
     """(row, id, label, vector or None where it can't link)."""
     ids, labels, cells = (batch.column(i) for i in range(3))
     ids, labels = ids.to_pylist(), labels.to_pylist()
@@ -66,12 +72,13 @@ def prepared(vectors: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, lab, None, None, None) if v is None else (i, lab, len(v), hashlib.blake2b(v.tobytes(), digest_size=16, salt=str(lab).encode()[:16]).digest(), (v + 0.0).tobytes()) for _, i, lab, v in _vectors(batch)]
+            rows = [(i, lab, None, None, None) if v is None else (i, lab, len(v), hashlib.blake2b(v.tobytes(), digest_size=16, key=hashlib.blake2b(lab.encode()).digest()).digest(), (v + 0.0).tobytes()) for _, i, lab, v in _vectors(batch)]
             ids, labels, dims, keys, vecs = zip(*rows, strict=True) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.int64()), pa.array(dims, pa.int32()), pa.array(keys, pa.binary()), pa.array(vecs, pa.binary())], ["vec_id", "label", "dim", "key", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(dims, pa.int32()), pa.array(keys, pa.binary()), pa.array(vecs, pa.binary())], ["vec_id", "label", "dim", "key", "vec"])
 
-    read = only(vectors, "vec_id", "label", "embedding").select("vec_id", F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
-    return read.mapInArrow(run, "vec_id long, label long, dim int, key binary, vec binary")
+    label = F.col("label") + 0 if vectors.schema["label"].dataType.typeName() in ("float", "double") else F.col("label")
+    read = only(vectors, "vec_id", "label", "embedding").select("vec_id", label.cast("string"), F.col("embedding").cast("array<double>"))
+    return read.mapInArrow(run, "vec_id long, label string, dim int, key binary, vec binary")
 
 
 def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
@@ -112,7 +119,8 @@ def _lead(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
 
 
 def blocks(classes: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataFrame:
-    """The sorted sequence, cut: (block, label, dim, lo*, hi*, ids, counts, vecs)."""
+    """The sorted sequence, cut: (block, part, place, label, dim, lo*, hi*, ids, counts, vecs); part and place tell
+    where in the sequence a block stands."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,13 +130,18 @@ def blocks(classes: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataF
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        part, place = TaskContext.get().partitionId(), itertools.count()
 
         def block() -> pa.RecordBatch:
             ids, labels, dims, counts, vecs = zip(*held, strict=True)
             lead = _lead(_unit(np.frombuffer(b"".join(vecs)).reshape(len(vecs), -1)), axes[dims[0]])
             box = [pa.array([float(x)]) for x in (*lead.min(0), *lead.max(0))]
             raw = [pa.array([np.array(x, np.int64).tobytes()], pa.binary()) for x in (ids, counts)]
-            return pa.RecordBatch.from_arrays([pa.array([ids[0]], pa.int64()), pa.array([labels[0]], pa.int64()), pa.array([dims[0]], pa.int32()), *box, *raw, pa.array([b"".join(vecs)], pa.binary())], ["block", "label", "dim", *_LO, *_HI, "ids", "counts", "vecs"])
+            where = [pa.array([ids[0]], pa.int64()), pa.array([part], pa.int32()), pa.array([next(place)], pa.int64())]
+            return pa.RecordBatch.from_arrays(
+                [*where, pa.array([labels[0]], pa.string()), pa.array([dims[0]], pa.int32()), *box, *raw, pa.array([b"".join(vecs)], pa.binary())],
+                ["block", "part", "place", "label", "dim", *_LO, *_HI, "ids", "counts", "vecs"],
+            )
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
@@ -139,12 +152,12 @@ def blocks(classes: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataF
         if held:
             yield block()
 
-    shape = "id long, label long, dim int, count long, vec binary"
+    shape = "id long, label string, dim int, count long, vec binary"
     order = ("label", "dim", "cell", "id")
     rows = classes.select("id", "label", "dim", "count", "vec").mapInArrow(placed, f"{shape}, cell array<int>")
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("cell")
     boxes = ", ".join(f"{c} double" for c in (*_LO, *_HI))
-    return dealt.mapInArrow(packed, f"block long, label long, dim int, {boxes}, ids binary, counts binary, vecs binary")
+    return dealt.mapInArrow(packed, f"block long, part int, place long, label string, dim int, {boxes}, ids binary, counts binary, vecs binary")
 
 
 def _near(a: str, b: str, eps: float):
@@ -154,19 +167,26 @@ def _near(a: str, b: str, eps: float):
 
 
 def block_pairs(sequence: DataFrame, eps: float) -> DataFrame:
-    """(a, b) of blocks that may hold a link: intervals first, then the blocks of near intervals."""
+    """(a, b) of blocks that may hold a link: pairs of the largest intervals, then of their parts, and so on."""
     same = ("label", "dim")
-    place = F.row_number().over(Window.partitionBy(*same).orderBy(*_LO, "block"))
-    box = sequence.select("block", *same, *_LO, *_HI).withColumn("node", F.floor((place - 1) / INTERVAL))
-    box = cut(box)
-    node = box.groupBy(*same, "node").agg(*(F.min(c).alias(c) for c in _LO), *(F.max(c).alias(c) for c in _HI))
-    equal = lambda a, b: (F.col(f"{a}.label") == F.col(f"{b}.label")) & (F.col(f"{a}.dim") == F.col(f"{b}.dim"))
-    near = node.alias("p").join(node.alias("q"), equal("p", "q") & (F.col("p.node") <= F.col("q.node")) & _near("p", "q", eps))
-    near = near.select("p.label", "p.dim", F.col("p.node").alias("pn"), F.col("q.node").alias("qn"))
-    left = near.alias("n").join(box.alias("x"), equal("n", "x") & (F.col("n.pn") == F.col("x.node")))
-    both = left.join(box.alias("y"), equal("n", "y") & (F.col("n.qn") == F.col("y.node")) & _near("x", "y", eps))
-    ordered = (F.col("n.pn") < F.col("n.qn")) | (F.col("x.block") <= F.col("y.block"))
-    return both.where(ordered).select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
+    box = cut(sequence.select("block", "part", "place", *same, *_LO, *_HI))
+    depth = -(-int(box.agg(F.max("place")).first()[0]).bit_length() // FAN)
+
+    def level(n: int) -> DataFrame:
+        keys = (*same, "part", F.shiftright("place", FAN * n).alias("node"))
+        return box.groupBy(*keys).agg(*(F.min(c).alias(c) for c in _LO), *(F.max(c).alias(c) for c in _HI), F.min("block").alias("block"))
+
+    equal = lambda a, b, *names: reduce(and_, (F.col(f"{a}.{n}") == F.col(f"{b}.{n}") for n in names))
+    ordered = F.struct("x.part", "x.node") <= F.struct("y.part", "y.node")
+    columns = ("x.label", "x.dim", F.col("x.part").alias("xp"), F.col("x.node").alias("xn"), F.col("y.part").alias("yp"), F.col("y.node").alias("yn"))
+    top = level(depth)
+    near = top.alias("x").join(top.alias("y"), equal("x", "y", *same) & ordered & _near("x", "y", eps))
+    for n in range(depth - 1, -1, -1):
+        pairs, child = cut(near.select(*columns)), level(n)
+        up = lambda side: F.shiftright(f"{side}.node", FAN)
+        left = pairs.alias("p").join(child.alias("x"), equal("p", "x", *same) & (F.col("p.xp") == F.col("x.part")) & (F.col("p.xn") == up("x")))
+        near = left.join(child.alias("y"), equal("p", "y", *same) & (F.col("p.yp") == F.col("y.part")) & (F.col("p.yn") == up("y")) & ordered & _near("x", "y", eps))
+    return near.select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
 
 
 def _links(p: np.ndarray, q: np.ndarray, pl: np.ndarray, ql: np.ndarray, cosine: float) -> np.ndarray:
@@ -236,22 +256,25 @@ def linked(pairs: DataFrame, sequence: DataFrame, axes: dict[int, np.ndarray], c
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors."""
     eps = float(np.sqrt(2 - 2 * cosine))
-    rows = cut(prepared(vectors))
-    known = rows.where("key is not null").select("vec_id", "label", "dim", "key", "vec").distinct()
-    classes = cut(known.groupBy("key").agg(F.min("vec_id").alias("id"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.count(F.lit(1)).alias("count"), F.first("vec").alias("vec")))
-    told = rows.select("vec_id", "key")
-    if classes.isEmpty():
-        return told.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    axes = principal_axes(classes)
-    sequence = cut(blocks(classes, axes, eps))
-    found = cut(linked(cut(block_pairs(sequence, eps)), sequence, axes, cosine))
-    degree = found.groupBy("id").agg(F.sum("links").alias("links"))
-    joined = components(found, "id", "low")
-    of_class = classes.select("key", "id", "count").join(degree, "id", "left").join(joined, "id", "left")
-    of_class = of_class.select("key", (F.col("count") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
-    out = told.join(of_class, "key", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    with passing(vectors.sparkSession) as keep:
+        rows = cut(prepared(vectors))
+        known = rows.where("key is not null").select("vec_id", "label", "dim", "key", "vec").distinct()
+        of_key = known.groupBy("key").agg(F.min("vec_id").alias("low_id"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.count(F.lit(1)).alias("count"), F.first("vec").alias("vec"))
+        classes = cut(of_key.withColumn("id", F.monotonically_increasing_id()))
+        told = rows.select("vec_id", "key")
+        if classes.isEmpty():
+            return keep(told.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")))
+        axes = principal_axes(classes)
+        sequence = cut(blocks(classes, axes, eps))
+        found = cut(linked(cut(block_pairs(sequence, eps)), sequence, axes, cosine))
+        degree = found.groupBy("id").agg(F.sum("links").alias("links"))
+        joined = components(found, "id", "low").withColumnRenamed("component_id", "c")
+        of_class = classes.select("key", "id", "low_id", "count").join(degree, "id", "left").join(joined, "id", "left").withColumn("c", F.coalesce("c", "id"))
+        smallest = of_class.groupBy("c").agg(F.min("low_id").alias("component_id"))
+        of_class = of_class.join(smallest, "c").select("key", (F.col("count") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+        out = told.join(of_class, "key", "left")
+        component = F.coalesce("component_id", "vec_id")
+        return keep(out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

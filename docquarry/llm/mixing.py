@@ -4,7 +4,7 @@ functions only).
 Tokens (runs without white space) are summed by cell (source, language, topic). Raking scales the cells to
 the target share of each source, then of each language, then of each topic, `rounds` times over. A cell's
 sampling probability is min(1, s * fitted / tokens), with s solved so that the expected tokens come to the
-budget: cells that reach 1 are set aside, highest ratio first, and the rest share what is left. A document
+budget: cells that reach 1 are set aside, and the rest share what is left. A document
 is kept when the hash of its id, as a number in [0, 1), is below its cell's probability, so the sample does
 not depend on partitioning, order or reruns.
 
@@ -15,8 +15,10 @@ Targets: for each of the three columns either a mapping value -> weight (values
 exponent e, which asks for shares in proportion to tokens ** e (1 keeps the mix, 0 makes it uniform).
 
 Defined results: null source or language is a value of its own (empty string), as is the topic of null
-text; documents without tokens have probability 0 and are not kept; equal ids get equal decisions; an empty
-table gives no rows; other columns pass through.
+text; documents without tokens have probability 0 and are not kept; texts are read whole; equal ids get equal
+decisions (repeated rows stay or go together); cells that tie are scaled alike; an empty table gives no rows;
+other columns pass through, whatever their names, except that columns named topic, tokens, p and kept are
+replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import cut, small, table
+from docquarry.llm.common import cut, passing, small, table
 
 DIMENSIONS = ("source", "lang", "topic")
 TARGETS: Mapping[str, float | Mapping[str, float]] = {"source": 0.5, "lang": 0.7, "topic": 0.7}
@@ -55,36 +57,31 @@ def tokens_of(text: Column) -> Column:
 
 
 def described(docs: DataFrame, topic: Column | None = None) -> DataFrame:
-    """docs with the columns __source, __lang, __topic and __tokens."""
-    return docs.withColumns(
-        {
-            "__source": F.coalesce(F.col("source").cast("string"), F.lit("")),
-            "__lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
-            "__topic": topic_of(F.col("text")) if topic is None else topic,
-            "__tokens": tokens_of(F.col("text")),
-        }
+    """(source, lang, topic, tokens) of every document, beside all its columns as the struct `row`."""
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        (topic_of(F.col("text")) if topic is None else topic).alias("topic"),
+        tokens_of(F.col("text")).alias("tokens"),
     )
 
 
-def fitted(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]], rounds: int) -> DataFrame:
-    """(source, lang, topic, tokens, w): the cells with their raked weights."""
-    summed = docs.where("__tokens > 0").groupBy(*(F.col(f"__{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("__tokens").cast("double").alias("tokens"))
-    cells = cut(summed)
+def fitted(rows: DataFrame, targets: Mapping[str, float | Mapping[str, float]], rounds: int) -> DataFrame:
+    """(source, lang, topic, tokens, w): the cells of described() rows with their raked weights."""
+    cells = cut(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").cast("double").alias("tokens")))
     parts = max(1, cells.count() // CELLS_A_TASK)
-    cells = cells.coalesce(1) if parts == 1 else cells.repartition(parts, "source")
-    total = F.sum("tokens").over(Window.partitionBy())
-    cells = cells.withColumns({"total": total, "w": F.col("tokens")})
+    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
+    cells = (cells.coalesce(1) if parts == 1 else cells.repartition(parts, "source")).withColumn("w", F.col("tokens"))
     for d in DIMENSIONS:
         asked = targets[d]
         if isinstance(asked, Mapping):
-            share = F.coalesce(*(F.when(F.col(d) == k, F.lit(float(v))) for k, v in asked.items()), F.lit(0.0))
-            cells = cells.withColumn(f"{d}_raw", share)
+            raw = F.coalesce(*(F.when(F.col(d) == k, F.lit(float(v))) for k, v in asked.items()), F.lit(0.0))
         else:
-            cells = cells.withColumn(f"{d}_raw", F.pow(F.sum("tokens").over(Window.partitionBy(d)), F.lit(float(asked))))
-        # each value once: its rows share the raw weight
-        each = F.col(f"{d}_raw") / F.count(F.lit(1)).over(Window.partitionBy(d))
-        cells = cells.withColumn(f"{d}_each", each)
-        cells = cells.withColumn(f"{d}_goal", F.col(f"{d}_raw") / F.sum(f"{d}_each").over(Window.partitionBy()) * F.col("total")).drop(f"{d}_raw", f"{d}_each")
+            raw = F.pow("tokens", F.lit(float(asked)))
+        margins = cells.groupBy(d).agg(F.sum("tokens").alias("tokens")).select(d, raw.alias("raw"))
+        goal = F.col("raw") / F.lit(margins.agg(F.sum("raw")).first()[0] or 1.0) * total
+        cells = cells.join(margins.select(d, goal.alias(f"{d}_goal")), d)
     cells = cut(cells)
     for i in range(rounds):
         cells = cells.coalesce(1) if parts == 1 else cells
@@ -97,31 +94,40 @@ def fitted(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]],
 
 
 def probabilities(cells: DataFrame, budget: float) -> DataFrame:
-    """(source, lang, topic, p) with expected tokens of budget * all tokens."""
+    """(source, lang, topic, p) with expected tokens of budget * all tokens. Cells whose probability would exceed 1
+    are set aside and the rest is scaled again, until no further one does: sums only, and one row to the driver
+    each time."""
     ratio = cells.withColumn("r", F.col("w") / F.col("tokens"))
-    ordered = Window.orderBy(F.desc("r"), *DIMENSIONS)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    onward = ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    scaled = ratio.withColumns(
-        {
-            "k": F.row_number().over(ordered),
-            "s": (F.sum("tokens").over(everything) * budget - F.coalesce(F.sum("tokens").over(before), F.lit(0.0))) / F.sum("w").over(onward),
-        }
-    )
-    solved = F.min(F.when(F.col("s") * F.col("r") <= 1, F.struct("k", "s"))).over(everything)["s"]
-    return scaled.select(*DIMENSIONS, F.least(F.lit(1.0), F.col("r") * solved).alias("p"))
+    scale, aside = 0.0, -1
+    while True:
+        free = F.col("r") * scale < 1
+        row = ratio.agg(F.sum("tokens").alias("t"), F.sum(F.when(~free, F.col("tokens"))).alias("full"), F.sum(F.when(free, F.col("w"))).alias("w"), F.count_if(~free).alias("n")).first()
+        if row["n"] == aside or not row["w"]:
+            break
+        aside, scale = row["n"], ((row["t"] or 0.0) * budget - (row["full"] or 0.0)) / row["w"]
+    return ratio.select(*DIMENSIONS, F.least(F.lit(1.0), F.col("r") * scale).alias("p"))
 
 
 def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, budget: float = BUDGET, rounds: int = ROUNDS, topic: Column | None = None) -> DataFrame:
     """All rows and columns of docs with topic, tokens, p and kept."""
     rows = described(docs, topic)
-    chances = cut(probabilities(fitted(rows, targets, rounds), budget)).select(*(F.col(d).alias(f"__{d}") for d in DIMENSIONS), F.col("p").alias("__p"))
-    drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
-    joined = rows.join(F.broadcast(chances) if small(chances, CELLS_A_TASK) else chances, [f"__{d}" for d in DIMENSIONS], "left")
-    p = F.when(F.col("__tokens") > 0, F.col("__p")).otherwise(0.0)
-    told = joined.withColumns({"topic": F.col("__topic"), "tokens": F.col("__tokens"), "p": p, "kept": drawn < p})
-    return told.drop("__source", "__lang", "__topic", "__tokens", "__p")
+    with passing(docs.sparkSession) as keep:
+        chances = keep(probabilities(fitted(rows, targets, rounds), budget))
+    drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+    joined = rows.join(F.broadcast(chances) if small(chances, CELLS_A_TASK) else chances, list(DIMENSIONS), "left")
+    p = F.when(F.col("tokens") > 0, F.col("p")).otherwise(0.0)
+    added = ("topic", "tokens", "p", "kept")
+    own = (F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in added)
+    return joined.select(*own, "topic", "tokens", p.alias("p"), (drawn < p).alias("kept"))
+
+
+def shares(mixed: DataFrame) -> DataFrame:
+    """(dimension, value, tokens, share): what a mixed table is expected to hold of each value, to set against the
+    targets. Cells that are taken whole can keep them from being met."""
+    value = F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("")).alias("value")) for d in DIMENSIONS)))
+    summed = mixed.select(value.alias("v"), (F.col("p") * F.col("tokens")).alias("t")).groupBy("v").agg(F.sum("t").alias("tokens"))
+    all_ = mixed.agg(F.sum(F.col("p") * F.col("tokens"))).first()[0] or 1.0
+    return summed.select("v.dimension", "v.value", "tokens", (F.col("tokens") / all_).alias("share"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,20 +2,28 @@
 
 Every labeller votes good, bad or nothing on a text. Votes are counted by pattern over all documents (at most
 3 to the number of labellers patterns, whatever the corpus), and expectation-maximisation over those counts
-estimates how each labeller votes on good and on bad texts, and how many are good. The posterior of its
-pattern is a document's weak label. The labels train a logistic scorer on hashed features: the shapes of its
-words and the document's measures in steps. It is fitted on at most `SAMPLE` documents, drawn by a hash of their
-id; counting and scoring cover all. Human labels aren't read.
-
-Defined results: null is the empty text, on which the length labeller alone votes; repeated rows get equal
-scores; texts are read whole; an empty table gives no rows; other columns are ignored.
+estimates how each labeller votes on good and on bad texts, and how many are good. A text is bad in one of
+several ways (as many as there are labellers), each with vote rates of its own: the labellers' votes depend on
+one another, as a text that is bad in one way is good in the others. All rates and shares are estimated; a
+labeller that others never bear out ends up as one that errs on good texts. A labeller that casts no vote says
+nothing, as that depends on the length of a text.
+
+The posterior of its pattern is a document's weak label. The labels train a logistic scorer on hashed features:
+the shapes of its words and the document's measures in steps. It is fitted on at most `SAMPLE` documents, drawn
+by a hash of id and text; counting and scoring cover all. Texts are read once, into a narrow table of votes and
+features. Human labels aren't read.
+
+Defined results: null is the empty text, on which the length labeller alone votes; repeated rows (also of one
+id, or of none) get equal scores; texts are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +32,9 @@ from pyspark.sql import functions as F
 
 from docquarry.llm.common import cut, only, table
 
-#: How often a labeller may call a good text bad, at most: a bad vote is a finding, a good one its absence.
-FALSE_ALARM = 0.005
+#: What estimation starts from: how often a labeller calls a good text bad, one that is bad in its way, and one
+#: that is bad in another way; the share of each way; and how many votes this assumption counts for.
+FALSE_ALARM, HIT, OTHER, SHARE, ASSUMED = 0.05, 0.7, 0.1, 0.02, 20
 #: Documents that the scorer is fitted on, at most (drawn by hash, about twice as many are gathered); hashed dimensions; words whose hash a task remembers.
 SAMPLE, DIMS, MEMORY = 6_000, 1024, 200_000
 KEEP = 0.5
@@ -74,40 +83,56 @@ def votes(n: int, m: dict[str, float]) -> tuple[int, ...]:
 LABELLERS = 9
 
 
-def agreement(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, tolerance: float = 1e-7) -> tuple[float, np.ndarray]:
-    """Share of good texts, and [class, labeller, bad or good vote] probabilities of the votes that are cast,
-    by EM from the assumption that a labeller finds three bad texts in ten and rarely calls a good one bad.
-    That rate stays below FALSE_ALARM: without it, EM takes the labellers' common silence on good texts for
-    agreement that outvotes a single finding. Casting no vote says nothing. Smoothed with a few votes of the
-    assumption, so that no vote is impossible."""
+@dataclass
+class Agreement:
+    """Shares of the classes (the first is good, the others are ways of being bad), and [class, labeller, bad or
+    good vote] rates of the votes that are cast."""
+
+    shares: np.ndarray
+    rates: np.ndarray
+
+    def classes(self, patterns: np.ndarray) -> np.ndarray:
+        """[class, pattern] posteriors."""
+        at = (patterns > 0).astype(int)
+        own = np.arange(patterns.shape[1])
+        logs = np.stack([np.log(p) + np.where(patterns != 0, np.log(r)[own, at], 0).sum(1) for p, r in zip(self.shares, self.rates, strict=True)])
+        found = np.exp(logs - logs.max(0))
+        return found / found.sum(0)
+
+    def good(self, patterns: np.ndarray) -> np.ndarray:
+        return self.classes(patterns)[0]
+
+    def accuracies(self, patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Estimated share of each labeller's votes that are right."""
+        weight = np.stack([1 - self.good(patterns), self.good(patterns)]) * counts
+        right = np.array([(weight[0] * (v == -1)).sum() + (weight[1] * (v == 1)).sum() for v in patterns.T])
+        return right / np.maximum(1e-9, ((patterns != 0) * counts[:, None]).sum(0))
+
+
+def agreement(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300, tolerance: float = 1e-7) -> Agreement:
+    """EM over vote patterns, each with its count."""
     k = patterns.shape[1]
-    start = np.array([[[0.3, 0.7]] * k, [[FALSE_ALARM, 1 - FALSE_ALARM]] * k])
-    prior, table_ = 0.8, start
+    bad = np.full((k + 1, k), OTHER)
+    bad[0] = FALSE_ALARM
+    bad[np.arange(1, k + 1), np.arange(k)] = HIT
+    start = np.stack([bad, 1 - bad], -1)
+    now = Agreement(np.array([1 - k * SHARE] + [SHARE] * k), start)
+    votes_cast = np.stack([patterns == -1, patterns == 1], -1).astype(float)
     for _ in range(rounds):
-        good = posterior(patterns, prior, table_)
-        weight = np.stack([(1 - good) * counts, good * counts])
-        prior_ = float((weight[1].sum() + 1) / (counts.sum() + 2))
-        new = np.stack([[[(weight[c] * (patterns[:, j] == v)).sum() for v in (-1, 1)] for j in range(k)] for c in (0, 1)]) + 4 * start
-        new /= new.sum(-1, keepdims=True)
-        alarm = np.minimum(new[1, :, 0], FALSE_ALARM)
-        new[1] = np.stack([alarm, 1 - alarm], axis=-1)
-        moved = abs(prior_ - prior) + np.abs(new - table_).max()
-        prior, table_ = prior_, new
+        weight = now.classes(patterns) * counts
+        shares = (weight.sum(1) + 1) / (counts.sum() + k + 1)
+        rates = np.einsum("cp,pkv->ckv", weight, votes_cast) + ASSUMED * start
+        rates /= rates.sum(-1, keepdims=True)
+        moved = np.abs(shares - now.shares).max() + np.abs(rates - now.rates).max()
+        now = Agreement(shares, rates)
         if moved < tolerance:
             break
-    return prior, table_
-
-
-def posterior(patterns: np.ndarray, prior: float, table_: np.ndarray) -> np.ndarray:
-    cast = patterns != 0
-    at = (patterns > 0).astype(int)
-    logs = np.stack([np.where(cast, np.log(table_[c])[np.arange(patterns.shape[1]), at], 0).sum(1) for c in (0, 1)])
-    return 1 / (1 + np.exp(np.clip(logs[0] + np.log(1 - prior) - logs[1] - np.log(prior), -50, 50)))
+    return now
 
 
 def _shape(word: str) -> str:
     out = []
-    for c in word[:32]:
+    for c in word:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)
@@ -141,7 +166,8 @@ class Reader:
         m = measures(text, words, counts)
         return votes(len(words), m), words, counts, m
 
-    def features(self, n: int, counts: Counter[str], m: dict[str, float]) -> np.ndarray:
+    def features(self, n: int, counts: Counter[str], m: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """Slots in order, and their values."""
         x = np.zeros(DIMS, np.float32)
         if counts:
             at = np.fromiter(map(self.slot, counts), np.int64, len(counts))
@@ -150,7 +176,8 @@ class Reader:
         for name in MEASURES:
             x[_slot(f"{name}:{sum(m[name] > s for s in _STEPS)}")] += 1
         x[_slot(f"length:{int(np.log2(n + 1))}")] += 1
-        return x
+        slots = np.flatnonzero(x)
+        return slots.astype(np.int16), x[slots]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> np.ndarray:
@@ -166,66 +193,77 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -
     return w
 
 
-def patterns_of(docs: DataFrame) -> DataFrame:
-    """(pattern, n) over all documents; pattern is the votes as digits 0 (bad), 1, 2."""
+def described(docs: DataFrame) -> DataFrame:
+    """(doc_id, drawn, pattern, slots, x) of every row: a hash to draw it by, its votes as digits 0 (bad), 1, 2, and
+    its features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, found = Reader(), Counter()
+        reader = Reader()
         for batch in batches:
-            for cell in batch.column(0):
-                found["".join(str(v + 1) for v in reader.read(cell.as_py() or "")[0])] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["pattern", "n"])
+            out: list[tuple[str, bytes, bytes]] = []
+            for cell in batch.column(2):
+                vote, words, counts, m = reader.read(cell.as_py() or "")
+                slots, x = reader.features(len(words), counts, m)
+                out.append(("".join(str(v + 1) for v in vote), slots.tobytes(), x.tobytes()))
+            columns = [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.string(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "drawn", "pattern", "slots", "x"])
 
-    return only(docs, "text").mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    read = only(docs, "doc_id", "text").select("doc_id", F.xxhash64("doc_id", "text").alias("drawn"), "text")
+    return read.mapInArrow(run, "doc_id long, drawn long, pattern string, slots binary, x binary")
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, np.ndarray]:
-    """Weights of the scorer, share of good texts, and the labellers' table."""
-    rows = patterns_of(docs).orderBy("pattern").collect()
-    if not rows:
-        return np.zeros(DIMS + 1), 0.5, np.full((2, LABELLERS, 2), 0.5)
-    patterns = np.array([[int(c) - 1 for c in r["pattern"]] for r in rows])
-    prior, table_ = agreement(patterns, np.array([r["n"] for r in rows], float))
+def _votes(pattern: str) -> list[int]:
+    return [int(c) - 1 for c in pattern]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
-        for batch in batches:
-            out = []
-            for cell in batch.column(0):
-                vote, words, counts, m = reader.read(cell.as_py() or "")
-                out.append((reader.features(len(words), counts, m).tobytes(), float(posterior(np.array([vote]), prior, table_)[0])))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.float64())], ["x", "y"])
+
+@dataclass
+class Model:
+    weights: np.ndarray
+    agreement: Agreement
+
+
+def train(read: DataFrame, sample: int = SAMPLE) -> Model:
+    """The scorer and the labellers' agreement, from described() rows."""
+    rows = read.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
+    if not rows:
+        return Model(np.zeros(DIMS + 1), agreement(np.zeros((1, LABELLERS), int), np.zeros(1)))
+    agreed = agreement(np.array([_votes(r["pattern"]) for r in rows]), np.array([r["n"] for r in rows], float))
 
     # by a hash threshold first: what is gathered doesn't grow with the number of partitions
-    total = sum(r["n"] for r in rows)
-    share = min(1.0, (2 * sample + 1000) / total)
-    drawn = only(docs, "doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-    chosen = drawn.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
-    seen = cut(chosen).select("text").mapInArrow(run, "x binary, y double").collect()
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in seen])
-    return _fit(x, np.array([r["y"] for r in seen])), prior, table_
+    share = min(1.0, (2 * sample + 1000) / sum(r["n"] for r in rows))
+    few = read.where(F.pmod("drawn", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    chosen = lambda frame: frame.orderBy("drawn", "doc_id").limit(sample).select("pattern", "slots", "x").collect()
+    seen = chosen(few) or chosen(read)  # rows that are all alike may all lie beyond the threshold
+    x = np.zeros((len(seen), DIMS), np.float32)
+    for i, r in enumerate(seen):
+        x[i, np.frombuffer(r["slots"], np.int16)] = np.frombuffer(r["x"], np.float32)
+    return Model(_fit(x, agreed.good(np.array([_votes(r["pattern"]) for r in seen]))), agreed)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray]) -> DataFrame:
-    """(doc_id, weak_label, score, kept)."""
-    weights, prior, table_ = model
+def score(read: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, weak_label, score, kept) of described() rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        weak: dict[str, float] = {}
         for batch in batches:
-            weak, scores = [], []
-            for cell in batch.column(1):
-                vote, words, counts, m = reader.read(cell.as_py() or "")
-                weak.append(float(posterior(np.array([vote]), prior, table_)[0]))
-                scores.append(float(1 / (1 + np.exp(-np.clip(reader.features(len(words), counts, m) @ weights[:-1] + weights[-1], -50, 50)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weak), pa.array(scores), pa.array([s >= KEEP for s in scores])], ["doc_id", "weak_label", "score", "kept"])
+            patterns = batch.column(1).to_pylist()
+            for p in set(patterns) - set(weak):
+                weak[p] = float(model.agreement.good(np.array([_votes(p)]))[0])
+            scores = []
+            for slots, x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                z = float(np.frombuffer(x, np.float32) @ model.weights[np.frombuffer(slots, np.int16)] + model.weights[-1])
+                scores.append(1 / (1 + math.exp(-max(-50.0, min(50.0, z)))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([weak[p] for p in patterns], pa.float64()), pa.array(scores, pa.float64()), pa.array([s >= KEEP for s in scores], pa.bool_())],
+                ["doc_id", "weak_label", "score", "kept"],
+            )
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, weak_label double, score double, kept boolean")
+    return read.select("doc_id", "pattern", "slots", "x").mapInArrow(run, "doc_id long, weak_label double, score double, kept boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score(docs, train(docs))
+    read = cut(described(table(spark, sf_dir, "documents")))
+    return score(read, train(read))
 
 
 #: A trained scorer can't be run in SQL; tests measure it on labels that it never saw.

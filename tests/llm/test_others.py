@@ -53,6 +53,25 @@ def test_embeddings_match_brute_force(spark):
     assert embeddings.near_duplicate_vectors(frame(spark, rows[602:606])).where("n_links = 0 and kept").count() == 4
 
 
+def test_embeddings_labels_of_any_type_and_vectors_of_one_id(spark):
+    near = [1.0, 1.0, 0.01]
+    for kind, labels in (("double", (1.2, 1.7, 1.2, None)), ("string", ("a", "b", "a", None)), ("int", (1, 2, 1, None))):
+        table = spark.createDataFrame([(i, [1.0, 1.0, i / 1000], x) for i, x in zip((1, 2, 3, 4), labels, strict=True)], f"vec_id long, embedding array<double>, label {kind}")
+        assert {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicate_vectors(table).collect()} == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4)}
+    same = spark.createDataFrame([(7, [1.0, 1.0, 0.0], 0), (7, near, 0), (5, [-1.0, 1.0, 0.0], 0)], "vec_id long, embedding array<double>, label int")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_duplicate_vectors(same).collect()) == [(5, 0, 5), (7, 1, 7), (7, 1, 7)]
+
+
+def test_embeddings_descend_through_intervals(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 6))
+    data = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=6) * 0.1], i % 2) for i in range(800)]
+    monkeypatch.setattr(embeddings, "BLOCK", 4)
+    monkeypatch.setattr(embeddings, "FAN", 1)
+    found = embeddings.near_duplicate_vectors(frame(spark, data)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == links_by_hand(data, 0.98)
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(1, 80)] + [(3000 + i, 3000 + (i + 1) % 40) for i in range(40)] + [(9, 9), (5000, 5000), (None, 3)]
@@ -79,6 +98,16 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(chat.conversation_records(table.limit(0))).count() == 0
 
 
+def test_conversations_come_in_every_layout(spark):
+    turns = [(i, k, r, f"{r} {i}" + ("\n\nmore" if i % 2 else "")) for i in range(120) for k, r in enumerate((["system"] if i % 3 == 0 else []) + ["user", "assistant"])]
+    turns += [(500 + i, 0, ["gpt", "", "user"][i % 3], "x") for i in range(30)] + [(600, 0, "system", "s")]
+    out = chat.format_chats(chat.conversation_records(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")))
+    found = {r.conv_id: r for r in out.select("conv_id", "layout", chat.fingerprint(F.col("record")).alias("mark"), chat.read_turns(F.col("formatted")).alias("back")).collect()}
+    for i in found:
+        assert [(t.role, t.text) for t in found[i].back] == [(r, t) for c, _, r, t in turns if c == i]
+    assert {r.layout for r in found.values()} == set(chat.LAYOUTS) and len({r.mark for r in found.values()}) == len(chat.LAYOUTS)
+
+
 def test_chat_layouts(spark):
     records = [
         ('{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":"a"}],"extra":1}', "messages", [("user", "q"), ("assistant", "a")]),
