@@ -14,12 +14,12 @@ TITLE_STOP = ["目录", "图像", "Images", "Table", "Figure", "附录", "参考
 VARIANTS = (
     "这這 里裡 后後 为為 国國 东東 发發 应應 与與 条條 责責 权權 险險 综綜 简簡 证證 标標 额額 计計 须須 际際 续續 赔賠 审審 终終 并並 买買 卖賣"
 ).split()
-TOKEN = "[A-Za-z]{2,}|[一-鿿]{2,}|[0-9]+(?:\\.[0-9]+)?"
-LOCATION = "(第\\s*[0-9]+\\s*页|page\\s*[0-9]+|section_id|chunk_id|Figure\\s*[0-9]+|Table\\s*[0-9]+|图\\s*[0-9]+|表\\s*[0-9]+|第\\s*[0-9]+\\s*章|chapter\\s*[0-9]+)"
-NUMBER = "(?<![A-Za-z0-9_])((?:-?[0-9]{1,3}(?:,[0-9]{3})*(?:\\.[0-9]+)?|-?[0-9]+(?:\\.[0-9]+)?)(?:%|‰)?)"
+TOKEN = "[A-Za-z]{2,}|[一-鿿]{2,}|\\p{Nd}+(?:\\.\\p{Nd}+)?"
+LOCATION = "(第\\s*\\p{Nd}+\\s*页|page\\s*\\p{Nd}+|section_id|chunk_id|Figure\\s*\\p{Nd}+|Table\\s*\\p{Nd}+|图\\s*\\p{Nd}+|表\\s*\\p{Nd}+|第\\s*\\p{Nd}+\\s*章|chapter\\s*\\p{Nd}+)"
+NUMBER = "(?<![A-Za-z0-9_])((?:-?\\p{Nd}{1,3}(?:,\\p{Nd}{3})*(?:\\.\\p{Nd}+)?|-?\\p{Nd}+(?:\\.\\p{Nd}+)?)(?:%|‰)?)"
 PUNCTUATION = "[，。！？,.!?;；:：()（）\\[\\]{}\"'“”‘’]+"
-SENTENCE_END = "[。！？；]|(?<![0-9])[.!?;](?![0-9])"
-OTHER_CITATION = "(?i)(\\(\\s*[0-9]+\\s*\\)|（\\s*[0-9]+\\s*）|【\\s*[0-9]+\\s*】|<\\s*sup\\s*>\\s*[0-9]+\\s*<\\s*/\\s*sup\\s*>)"
+SENTENCE_END = "[。！？；]|(?<!\\p{Nd})[.!?;](?!\\p{Nd})"
+OTHER_CITATION = "(?i)(\\(\\s*\\p{Nd}+\\s*\\)|（\\s*\\p{Nd}+\\s*）|【\\s*\\p{Nd}+\\s*】|<\\s*sup\\s*>\\s*\\p{Nd}+\\s*<\\s*/\\s*sup\\s*>)"
 GENERIC_CAPTIONS = ["test", "caption", "test caption", "image caption", "a caption", "n/a", "none", "null", "unknown", "untitled"]
 GENERIC_NOUNS_EN = ["image", "figure", "diagram", "chart", "photo", "screenshot", "illustration", "table", "equation", "formula"]
 GENERIC_NOUNS_ZH = ["图片", "图", "示意图", "图示", "插图", "照片", "表格", "公式"]

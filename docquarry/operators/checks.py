@@ -38,15 +38,25 @@ def calc_keys(code: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(found, T.strip), lambda k: k != ""))
 
 
-def calc_fault(inputs: Column, code: Column, difficulty: Column) -> Column:
-    """First fault of a calculation: its inputs (a map) and its code; null if none."""
+def calc_fault(question: Column, inputs: Column, code: Column, difficulty: Column) -> Column:
+    """First fault of a calculation: its question, its inputs (a map) and its code; null if none. Values of inputs
+    are JSON text: numbers, or strings that hold one."""
     n = F.coalesce(F.size(inputs), F.lit(0))
     hard = difficulty == "hard"
+    names, values = F.coalesce(F.map_keys(inputs), F.array().cast("array<string>")), F.coalesce(F.map_values(inputs), F.array().cast("array<string>"))
+    nameless = F.exists(names, lambda k: T.strip(T.text(k)) == "")
+    odd = F.exists(values, lambda v: v.isNull() | F.rlike(v, F.lit("^\\s*([\\[{]|(true|false|null)\\s*$)")))
     return (
-        F.when(T.strip(T.text(code)) == "", "empty_code")
+        F.when(T.strip(T.text(question)) == "", "empty_question")
+        .when(T.names_location(question), "prohibited_location")
+        .when(~_asks(question), "missing_question_mark")
+        .when(~F.coalesce(difficulty.isin("easy", "hard"), F.lit(False)), "calc_not_allowed_for_this_difficulty")
+        .when(T.strip(T.text(code)) == "", "empty_code")
         .when(~F.contains(T.text(code), F.lit("INPUTS")), "code_must_reference_INPUTS")
         .when(~F.rlike(T.text(code), F.lit("[-+*/]")), "code_must_include_arithmetic")
         .when((n < F.when(hard, 2).otherwise(1)) | (n > 20), "bad_number_of_inputs")
+        .when(nameless, "bad_input_name")
+        .when(odd, "bad_input_value")
         .when(hard & (F.size(calc_keys(code)) < 2), "hard_calc_must_use_at_least_2_INPUTS_keys")
     )
 
@@ -168,8 +178,8 @@ def debug_items(spark, d) -> DataFrame:
     return rows.select(
         F.col("n").alias("ord"),
         "doc_id",
-        F.concat(F.substring(first["title"], 1, 80), F.when(F.col("n") % 4 != 0, "?").otherwise("")).alias("question"),
-        F.when(F.col("n") % 7 == 2, "UNANSWERABLE").when(F.col("n") % 5 == 0, "In 1,234 of 56% cases.").otherwise(F.substring(first["body"], F.lit(1), (40 + F.col("n") % 300).cast("int"))).alias("answer"),
+        F.concat(first["title"], F.when(F.col("n") % 4 != 0, "?").otherwise("")).alias("question"),
+        F.when(F.col("n") % 7 == 2, "UNANSWERABLE").when(F.col("n") % 5 == 0, "In 1,234 of 56% cases.").when(F.col("n") % 9 < 5, first["title"]).otherwise(first["body"]).alias("answer"),
         F.get(F.array(F.lit("easy"), F.lit("hard"), F.lit("unanswerable")), (F.col("n") % 3).cast("int")).alias("difficulty"),
         F.when(calc, "calc").otherwise("qa").alias("kind"),
         F.transform("s", lambda e: e["section_id"]).alias("evidence_section_ids"),
@@ -195,7 +205,20 @@ def q_evidence(spark, d):
 
 
 def q_calc(spark, d):
-    return debug_items(spark, d).where("derived is not null").select("ord", calc_fault(F.col("derived.inputs"), F.col("derived.code"), F.col("difficulty")).alias("fault"), F.array_join(calc_keys(F.col("derived.code")), ",").alias("keys"))
+    """Calculations of every kind of fault, one for each document."""
+    n = F.col("doc_id")
+    fields = {
+        "question": F.when(n % 13 == 0, " ").when(n % 13 == 1, "Sum of page 3?").when(n % 13 == 2, "What is the sum").otherwise("What is the sum?"),
+        "difficulty": F.get(F.array(F.lit("easy"), F.lit("hard"), F.lit("unanswerable"), F.lit("hard")), (n % 4).cast("int")),
+        "code": F.when(n % 11 == 0, "").when(n % 11 == 1, "r = 1 + 2").when(n % 11 == 2, "r = INPUTS['a']").when(n % 11 == 3, "r = INPUTS[\"a\"] + INPUTS[ 'a' ]").otherwise("r = INPUTS['a'] + INPUTS['b']"),
+        "inputs": F.when(n % 7 == 0, F.create_map(F.lit(" "), F.lit("1"), F.lit("b"), F.lit("2")))
+        .when(n % 7 == 1, F.create_map(F.lit("a"), F.lit("1")))
+        .when(n % 7 == 2, F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("[2]")))
+        .when(n % 7 == 3, F.create_map().cast("map<string,string>"))
+        .otherwise(F.create_map(F.lit("a"), F.lit("12"), F.lit("b"), F.lit("1,000"))),
+    }
+    rows = views.table(spark, d, "documents").select(n.alias("ord"), *(c.alias(k) for k, c in fields.items()))
+    return rows.select("ord", calc_fault(*map(F.col, ("question", "inputs", "code", "difficulty"))).alias("fault"), F.array_join(calc_keys(F.col("code")), ",").alias("keys"))
 
 
 def q_numbers(spark, d):
@@ -216,7 +239,6 @@ def q_flags(spark, d):
     )
 
 
-#: The SQL still reads the first 300 characters only; the query reads whole texts.
 _CITED = "regexp_replace({t}, '([.] )', case when doc_id % 3 = 0 then '. [1] ' when doc_id % 3 = 1 then '. [2] [1] ' else '. ' end{g}) || case when doc_id % 5 = 0 then ' [x]' when doc_id % 7 = 0 then ' (3)' else ' [1]' end"
 
 
@@ -239,14 +261,14 @@ items as (
   select n as ord, any_value(doc_id) as doc_id, min(title) filter (idx = 0) as t, min(body) filter (idx = 0) as b, count(*) as k, string_agg(body, chr(10) order by idx) as evidence_text,
     min(start_char) as lo, max(start_char) as hi from kept group by n),
 debug_items as (
-  select ord, doc_id, substr(t, 1, 80) || case when ord % 4 <> 0 then '?' else '' end as question,
-    case when ord % 7 = 2 then 'UNANSWERABLE' when ord % 5 = 0 then 'In 1,234 of 56% cases.' else substr(b, 1, 40 + ord % 300) end as answer,
+  select ord, doc_id, t || case when ord % 4 <> 0 then '?' else '' end as question,
+    case when ord % 7 = 2 then 'UNANSWERABLE' when ord % 5 = 0 then 'In 1,234 of 56% cases.' when ord % 9 < 5 then t else b end as answer,
     ['easy', 'hard', 'unanswerable'][ord % 3 + 1] as difficulty, case when ord % 11 = 0 then 'calc' else 'qa' end as kind, k, evidence_text, lo, hi, ord % 22 = 0 as has_derived from items)"""
 _LOC = "'(?i)" + T.LOCATION + "'"
 _SP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
-_NUM = "(-?[0-9]{1,3}(,[0-9]{3})*(\\.[0-9]+)?(%|‰)?)"
+_NUM = "(-?\\p{Nd}{1,3}(,\\p{Nd}{3})*(\\.\\p{Nd}+)?(%|‰)?)"
 #: RE2 has no lookbehind: a token may not follow a letter, digit or underscore, so the character before is taken too.
-_NUMBERS = "list_transform(regexp_extract_all(answer, '(?:^|[^A-Za-z0-9_])" + _NUM + "'), lambda x: regexp_extract(x, '" + _NUM + "', 1))"
+_NUMBERS = "regexp_extract_all(answer, '(?:^|[^A-Za-z0-9_])" + _NUM + "', 1)"
 _DISTINCT = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
 _LOOSE = "list_filter((" + _DISTINCT.replace("{0}", _NUMBERS) + ")[1:6], lambda x: not contains(replace(evidence_text, ',', ''), replace(x, ',', '')))"
 
@@ -283,15 +305,27 @@ select ord, case difficulty when 'easy' then k = 1 when 'unanswerable' then true
     when difficulty <> 'unanswerable' and len({_LOOSE}) > 0 then 'answer_number_not_in_evidence'
     when difficulty = 'easy' and k <> 1 then 'easy_requires_exactly_1_chunk' when difficulty = 'hard' and k < 2 then 'hard_requires_more_chunks' end as fault
 from debug_items""",
-    "calc_fault": f"with {SECTION_ITEMS} select ord, null::varchar as fault, 'a,b' as keys from debug_items where has_derived",
+    "calc_fault": """with i as (
+  select doc_id as ord, case doc_id % 13 when 0 then '' when 1 then 'Sum of page 3?' when 2 then 'What is the sum' else 'What is the sum?' end as q, ['easy', 'hard', 'unanswerable', 'hard'][doc_id % 4 + 1] as difficulty,
+    case doc_id % 11 when 0 then '' when 1 then 'r = 1 + 2' when 2 then 'r = INPUTS[''a'']' when 3 then 'r = INPUTS["a"] + INPUTS[ ''a'' ]' else 'r = INPUTS[''a''] + INPUTS[''b'']' end as code,
+    case doc_id % 7 when 1 then 1 when 3 then 0 else 2 end as n, doc_id % 7 = 0 as nameless, doc_id % 7 = 2 as odd, case when doc_id % 11 < 2 then '' when doc_id % 11 < 4 then 'a' else 'a,b' end as keys from documents)
+select ord, case when q = '' then 'empty_question' when contains(q, 'page 3') then 'prohibited_location' when not contains(q, '?') then 'missing_question_mark'
+  when difficulty = 'unanswerable' then 'calc_not_allowed_for_this_difficulty' when code = '' then 'empty_code' when not contains(code, 'INPUTS') then 'code_must_reference_INPUTS'
+  when not contains(code, '+') then 'code_must_include_arithmetic' when n < case difficulty when 'hard' then 2 else 1 end then 'bad_number_of_inputs' when nameless then 'bad_input_name' when odd then 'bad_input_value'
+  when difficulty = 'hard' and keys <> 'a,b' then 'hard_calc_must_use_at_least_2_INPUTS_keys' end as fault, keys from i""",
+    "number_tokens": f"""with t as (select doc_id, {_NUMBERS.replace('answer', 'text')} as n from documents)
+select doc_id, array_to_string(({_DISTINCT.replace('{0}', 'n')})[1:8], ' ') as numbers from t""",
+    "grounding": f"""with h as (select doc_id, substr(text, greatest(length(text) // 2, 1)) as answer, substr(text, 1, length(text) // 2) as evidence from documents),
+t as (select doc_id, evidence, {_NUMBERS} as n from h)
+select doc_id, len(list_filter(({_DISTINCT.replace('{0}', 'n')})[1:6], lambda x: not contains(replace(evidence, ',', ''), replace(x, ',', '')))) = 0 as grounded from t""",
     "text_flags": f"""select doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) >= 1 and len(list_filter(list_filter(string_split(text || chr(10) || '|---|---', chr(10)), lambda x: trim(x) <> '')[1:8], lambda x: starts_with(x, '|---'))) > 0 as is_table,
   contains(text, '|') and contains(text, chr(10)) as has_rows, regexp_matches(text, {_LOC}) as names_location, 'en' as language, 'en' as service_language from documents""",
-    "citation_check": f"""with c as (select doc_id, {_CITED.format(t="substr(text, 1, 300)", g=", 'g'")} as s from documents),
+    "citation_check": f"""with c as (select doc_id, {_CITED.format(t="text", g=", 'g'")} as s from documents),
 t as (select doc_id, {_SP.format('s')} as s, list_transform(regexp_extract_all(s, '\\[([0-9]+)\\]', 1), lambda x: x::bigint) as e from c),
 m as (select *, regexp_replace(s, '\\[[0-9]+\\]', '', 'g') as rest,
   regexp_replace(s, '[.!?;]\\s*\\[[0-9]+\\]', '', 'g') as uncited from t)
 select doc_id, case when regexp_matches(s, '{T.OTHER_CITATION}') then 'uses_non_square_bracket_citation_mark' when len(e) = 0 then 'missing_citations'
     when contains(rest, '[') or contains(rest, ']') then 'malformed_brackets'
-    when regexp_matches(uncited, '[。！？；]|(^|[^0-9])[.!?;]($|[^0-9])') then 'missing_sentence_end_citation' end as fault,
+    when regexp_matches(uncited, '[。！？；]|(^|[^\\p{{Nd}}])[.!?;]($|[^\\p{{Nd}}])') then 'missing_sentence_end_citation' end as fault,
   md5({_SP.format("regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '\\[[0-9]+\\]', '', 'g'), '[ \\t]+', ' ', 'g'), '\\s+\\n', chr(10), 'g'), '\\n\\s+', chr(10), 'g')")}) as plain_md5 from m""",
 }

@@ -19,15 +19,12 @@ def sections(docs: DataFrame) -> DataFrame:
     """(doc_id, idx, section_id, title, level, start_char, end_char, body) of Markdown documents (doc_id, md).
 
     A section runs from its heading to the next. Text before the first heading, or all of it where there is
-    none, is a section of level 0. One pass over the rows: offsets are running sums inside the row."""
+    none, is a section of level 0. Offsets are running sums over a document's sections."""
     pieces = F.split(F.regexp_replace(T.text(F.col("md")), HEADING, _CUT + "$0"), _CUT)
-    cut = docs.select("doc_id", F.filter(pieces, lambda p, i: (i > 0) | (p != "") | (F.size(pieces) == 1)).alias("pieces"))
-    ends = F.aggregate(
-        "pieces",
-        F.array().cast("array<bigint>"),
-        lambda a, p: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0).cast("long")) + F.length(p))),
-    )
-    rows = cut.select("doc_id", "pieces", ends.alias("ends")).select("doc_id", "ends", F.posexplode("pieces").alias("idx", "body"))
+    kept = T.let(pieces, lambda ps: F.filter(ps, lambda p, i: (i > 0) | (p != "") | (F.size(ps) == 1)))
+    cut_up = docs.select("doc_id", F.posexplode(kept).alias("idx", "body"))
+    upto = F.sum(F.length("body")).over(Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
+    rows = cut_up.withColumn("end", upto)
     level = F.length(F.regexp_extract("body", HEADING.replace("(?md)^", "(?md)\\A"), 1))
     return rows.select(
         "doc_id",
@@ -35,8 +32,8 @@ def sections(docs: DataFrame) -> DataFrame:
         F.concat("doc_id", F.lit("_sec"), F.col("idx").cast("string")).alias("section_id"),
         F.regexp_extract("body", HEADING.replace("(?md)^", "(?md)\\A"), 2).alias("title"),
         level.alias("level"),
-        F.coalesce(F.get("ends", F.col("idx") - 1), F.lit(0).cast("long")).alias("start_char"),
-        F.get("ends", F.col("idx")).alias("end_char"),
+        (F.col("end") - F.length("body")).alias("start_char"),
+        F.col("end").alias("end_char"),
         "body",
     )
 

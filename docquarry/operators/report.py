@@ -10,7 +10,7 @@ from docquarry.operators import checks, parse, search, views
 from docquarry.plans.lineage import cut
 
 
-def reachability(asked: DataFrame, tokenised: DataFrame, limit: int = 10, searches: int = 2, reads: int = 2) -> DataFrame:
+def reachability(asked: DataFrame, index: search.Index, limit: int = 10, searches: int = 2, reads: int = 2) -> DataFrame:
     """(ord, ok, searches, reads) for rows (ord, question, used_doc_ids, evidence_section_ids): up to two
     keyword sets are searched in each used document; the second counts only if the first found no gold
     section. Both run as one search over rows (item, set, document)."""
@@ -18,8 +18,8 @@ def reachability(asked: DataFrame, tokenised: DataFrame, limit: int = 10, search
     sets = F.slice(F.array(base, T.more_keywords(F.col("question"), base)), 1, searches)
     rows = asked.select("ord", F.posexplode(sets).alias("k", "terms"), "used_doc_ids").where(F.size("terms") > 0)
     rows = rows.select("ord", "k", "terms", F.explode(F.array_distinct("used_doc_ids")).alias("doc_id"))
-    rows = rows.join(tokenised.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("query", F.concat_ws(":", F.col("ord").cast("string"), F.col("k").cast("string")))
-    hits = search.top(search.ranked(rows.select("query", "doc_id", "terms"), tokenised), limit, each=True)
+    rows = rows.join(index.stats.select("doc_id"), "doc_id", "left_semi").withColumn("query", F.concat_ws(":", F.col("ord").cast("string"), F.col("k").cast("string")))
+    hits = search.top(search.ranked(rows.select("query", "doc_id", "terms"), index), limit, each=True)
     found = hits.groupBy("query", "doc_id").agg(F.collect_set("section_id").alias("hit"))
     told = rows.join(found, ["query", "doc_id"], "left").join(asked.select("ord", F.col("evidence_section_ids").alias("gold")), "ord")
     each = told.groupBy("ord", "k").agg(
@@ -129,15 +129,15 @@ def _items(spark, d):
     return checks.debug_items(spark, d).withColumn("reasons", checks.gate_reasons())
 
 
-def _asked(spark, d):
-    found = parse.sections(views.md_docs(spark, d)).where("idx = 1")
+def _asked(found):
+    found = found.where("idx = 1")
     words = F.split(T.collapse(F.col("body")), " ")
     return found.select(F.col("doc_id").cast("long").alias("ord"), F.array_join(F.slice(words, 2, 9), " ").alias("question"), F.array("doc_id").alias("used_doc_ids"), F.array("section_id").alias("evidence_section_ids"))
 
 
 def _reach(spark, d):
-    chunks = parse.markdown_chunks(parse.sections(views.md_docs(spark, d)))
-    return reachability(_asked(spark, d), cut(search.index_tokens(chunks)), limit=2)
+    found = cut(parse.sections(views.md_docs(spark, d)))
+    return reachability(cut(_asked(found)), search.build(parse.markdown_chunks(found)), limit=2)
 
 
 def q_reach(spark, d):
@@ -171,7 +171,11 @@ def q_quality(spark, d):
 
 
 def q_averages(spark, d):
-    r = averages(_items(spark, d))
+    """Items whose evidence names one to three documents."""
+    n = F.col("ord")
+    entry = lambda i: F.struct((n + i).cast("string").alias("doc_id"))
+    several = F.transform(F.sequence(F.lit(0), (n % 5).cast("int")), lambda i: entry(i % 3))
+    r = averages(_items(spark, d).withColumn("evidence", several))
     return r.select(*(F.round(c, 9).alias(c) for c in r.columns))
 
 
@@ -206,8 +210,8 @@ def q_corpus(spark, d):
 
 
 def q_export(spark, d):
-    found = parse.sections(views.md_docs(spark, d))
-    corpus = export_corpus(parse.markdown_chunks(found))
+    found = cut(parse.sections(views.md_docs(spark, d)))
+    corpus = cut(export_corpus(parse.markdown_chunks(found)))
     n = F.col("doc_id").cast("long")
     cite = lambda e, i: F.struct(F.lit(e).alias("eid"), F.array(F.concat("doc_id", F.lit(f"_s{i}_c0"))).alias("chunk_ids"))
     items = found.where("idx = 0").select(
@@ -226,7 +230,7 @@ _DIST = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
 
 
 def _kw(text: str, most: int) -> str:
-    toks = f"list_filter(regexp_extract_all(lower({text}), '[A-Za-z]{{2,}}|[一-鿿]{{2,}}|[0-9]+(?:\\.[0-9]+)?'), lambda t: not list_contains({_STOPS}, t))"
+    toks = f"list_filter(regexp_extract_all(lower({text}), '[A-Za-z]{{2,}}|[一-鿿]{{2,}}|\\p{{Nd}}+(?:\\.\\p{{Nd}}+)?'), lambda t: not list_contains({_STOPS}, t))"
     return f"({_DIST.replace('{0}', toks)})[1:{most}]"
 
 
@@ -263,14 +267,22 @@ QUERIES = {
 ORACLES = {
     "reachability": f"{_REACH} select ord, ok, searches, reads from reached",
     "reach_report": f"{_REACH} select count(*) as total, count(*) filter (ok) as ok, round(avg(ok::int), 9) as ok_rate, round(avg(searches), 9) as avg_searches, round(avg(reads), 9) as avg_reads from reached",
-    "keywords": f"with {_KEYWORDS.format(id='doc_id', base=_kw('text', 8), wide=_kw('text', 10), text='text', source='documents')} select doc_id, array_to_string(b, '|') as keywords, array_to_string({_MORE}, '|') as more, array_to_string(({_DIST.replace('{0}', _PLAIN)})[1:10], '|') as plain from k",
+    "keywords": f"""with t as (select doc_id, text, list_filter(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}|[一-鿿]{{2,}}|\\p{{Nd}}+(?:\\.\\p{{Nd}}+)?'), lambda t: not list_contains({_STOPS}, t)) as w from documents),
+u as (select doc_id, unnest(w) as x, unnest(range(len(w))) as i from t),
+f as (select doc_id, x, row_number() over (partition by doc_id order by min(i)) as k from u group by doc_id, x),
+wide as (select doc_id, list(x order by k) filter (k <= 8) as b, list(x order by k) filter (k <= 10) as v from f group by doc_id),
+k as (select doc_id, text, coalesce(b, []) as b, list_concat(coalesce(b, []), list_transform(range(1, len(coalesce(v, []))), lambda i: v[i] || ' ' || v[i + 1])) as bg from t left join wide using (doc_id)),
+pu as (select doc_id, unnest(p) as x, unnest(range(len(p))) as i from (select doc_id, list_filter(regexp_extract_all(text, '[0-9A-Za-z一-鿿]{{2,14}}'), lambda t: not list_contains({_TITLES}, t)) as p from documents)),
+pf as (select doc_id, x, row_number() over (partition by doc_id order by min(i)) as k from pu group by doc_id, x),
+pl as (select doc_id, string_agg(x, '|' order by k) as plain from pf where k <= 10 group by doc_id)
+select doc_id, array_to_string(b, '|') as keywords, array_to_string({_MORE}, '|') as more, coalesce(plain, '') as plain from k left join pl using (doc_id)""",
     "histograms": f"with {checks.SECTION_ITEMS} select difficulty as value, count(*) as n, 'difficulty' as by from debug_items group by 1 union all select kind, count(*), 'kind' from debug_items group by 1",
     "reason_top": f"{_REASONS} select reason, n from (select reason, count(*) as n, min((ord, p)) as first from (select ord, unnest(reasons) as reason, unnest(range(len(reasons))) as p from rr) group by reason order by n desc, first limit 30)",
     "quality_report": f"""{_REASONS}, j as (select len(reasons) = 0 as gate, ord % 9 <> 0 as s, ord % 13 <> 0 as u, ord % 5 <> 0 as f from rr)
 select count(*) as total, count(*) filter (gate) as gate_pass, round(count(*) filter (gate) / count(*), 9) as gate_pass_rate, count(*) filter (gate and s and u and f) as judge_pass,
   round(coalesce(count(*) filter (gate and s and u and f) / nullif(count(*) filter (gate), 0), 0), 9) as judge_pass_rate, count(*) filter (gate and s and u) as aligned_pass,
   round(coalesce(count(*) filter (gate and s and u) / nullif(count(*) filter (gate), 0), 0), 9) as aligned_pass_rate from j""",
-    "audit_averages": f"with {checks.SECTION_ITEMS} select round(avg(k), 9) as avg_evidence_sections, 1.0::double as avg_used_docs from debug_items",
+    "audit_averages": f"with {checks.SECTION_ITEMS} select round(avg(k), 9) as avg_evidence_sections, round(avg(least(ord % 5 + 1, 3)), 9) as avg_used_docs from debug_items",
     "debug_join_last": f"with {views.QA}, one as (select trim(question) as k, arg_max(ord % 100, ord) as tag from qa group by 1) select q.ord, one.tag from qa q left join one on trim(q.question) = one.k",
     "debug_join_first": f"with {views.QA}, s as (select ord, regexp_replace(regexp_replace(lower(trim(question)), '\\s+', ' ', 'g'), '{T.PUNCTUATION.replace(chr(39), chr(39) * 2)}', '', 'g')[1:500] as k from qa), one as (select k, arg_min(ord % 100, ord) as tag from s group by 1) select s.ord, one.tag from s left join one using (k)",
     "writer_new": f"with {views.QA}, s as (select ord, conv_id, nullif(regexp_replace(lower(trim(question)), '\\s+', ' ', 'g')[1:500], '') as k from qa where trim(question) <> '' and trim(answer) <> '') select min(ord) as ord from s where k is not null and k not in (select k from s where conv_id % 10 = 0 and k is not null) group by k union all select ord from s where k is null",

@@ -1,17 +1,25 @@
 """Full-text index, ranked and plain search, and section reading over chunks.
 
 Each document is an index of its own: frequencies and lengths are those of its chunks. Scores are BM25, negative,
-so that lower is better. A term with a space is a phrase. Chunk tokens are made once, term counts inside
-the row; what is shuffled is a row for each chunk and term that meet.
+so that lower is better. A term with a space is a phrase. The index is written once: the lengths of the chunks,
+and the postings of their terms. A search joins the terms that are asked for with the postings, by document and
+term, so it reads nothing of chunks that hold none of them; a phrase is met where the postings of its words
+fall on one start.
+
+Words are runs of ASCII letters and digits and of all characters beyond ASCII, lower-cased. Accents aren't folded,
+and punctuation beyond ASCII belongs to its word.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.functions import text as T
 from docquarry.operators import parse, views
+from docquarry.plans.lineage import cut
 
 K1, B = 1.2, 0.75
 MOST_TERMS = 12
@@ -25,30 +33,48 @@ def index_tokens(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("tokens", F.regexp_extract_all(F.lower(fields), F.lit(TOKENS), F.lit(0)))
 
 
-def postings(chunks: DataFrame) -> DataFrame:
-    """(doc_id, chunk_id, term, positions): the index as a table, to write partitioned by document."""
-    rows = index_tokens(chunks).select("doc_id", "chunk_id", F.posexplode("tokens").alias("pos", "term"))
+def postings(tokenised: DataFrame) -> DataFrame:
+    """(doc_id, chunk_id, term, positions) of index_tokens() rows."""
+    rows = tokenised.select("doc_id", "chunk_id", F.posexplode("tokens").alias("pos", "term"))
     return rows.groupBy("doc_id", "chunk_id", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+@dataclass
+class Index:
+    """chunks: (doc_id, chunk_id, section_id, tokens); stats: (doc_id, n, mean), chunks of a document and their mean
+    length."""
+
+    chunks: DataFrame
+    stats: DataFrame
+
+
+def build(chunks: DataFrame) -> Index:
+    """The index of chunks, written as tables. Tokens stay in their chunk's row, in order: that is the list of
+    postings of a chunk, and what isn't asked for is dropped where it is read."""
+    held = cut(index_tokens(chunks).select("doc_id", "chunk_id", "section_id", "tokens"))
+    return Index(held, cut(held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("tokens")).alias("mean"))))
+
+
 def query_terms(terms: Column) -> Column:
     """Token sequences of the first terms that aren't blank."""
     kept = F.slice(F.filter(F.transform(terms, T.strip), lambda t: t != ""), 1, MOST_TERMS)
     return F.filter(F.transform(kept, lambda t: F.regexp_extract_all(F.lower(t), F.lit(TOKENS), F.lit(0))), lambda t: F.size(t) > 0)
 
 
-def _count(tokens: Column, sequence: Column) -> Column:
-    one = F.size(F.filter(tokens, lambda t: t == F.get(sequence, F.lit(0))))
-    many = F.size(F.filter(F.sequence(F.lit(1), F.size(tokens)), lambda i: F.slice(tokens, i, F.size(sequence)) == sequence))
-    return F.when(F.size(tokens) == 0, 0).when(F.size(sequence) == 1, one).otherwise(many)
-
-
-def ranked(asked: DataFrame, tokenised: DataFrame) -> DataFrame:
+def ranked(asked: DataFrame, index: Index) -> DataFrame:
     """(query, doc_id, chunk_id, section_id, score) for rows (query, doc_id, terms) against their documents."""
-    stats = tokenised.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("tokens")).alias("mean"))
-    met = asked.select("query", "doc_id", query_terms(F.col("terms")).alias("terms")).join(tokenised.select("doc_id", "chunk_id", "section_id", "tokens"), "doc_id")
-    counts = met.select("query", "doc_id", "chunk_id", "section_id", F.size("tokens").alias("len"), F.posexplode(F.transform("terms", lambda s: _count(F.col("tokens"), s))).alias("j", "tf"))
-    hits = counts.where("tf > 0").withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("query", "doc_id", "j"))).join(stats, "doc_id")
+    terms = asked.select("query", "doc_id", F.posexplode(query_terms(F.col("terms"))).alias("j", "sequence"))
+    words = terms.select("query", "doc_id", "j", F.size("sequence").alias("need"), F.posexplode("sequence").alias("at", "term"))
+    # the words asked of a document travel to its chunks, whose other tokens go no further
+    wanted = words.groupBy("doc_id").agg(F.collect_set("term").alias("wanted"))
+    met = index.chunks.join(wanted, "doc_id").select("doc_id", "chunk_id", "section_id", F.size("tokens").alias("len"), "wanted", F.posexplode("tokens").alias("pos", "term"))
+    listed = met.where(F.array_contains("wanted", F.col("term"))).drop("wanted")
+    single = words.where("need = 1").join(listed.groupBy("doc_id", "chunk_id", "section_id", "len", "term").agg(F.count(F.lit(1)).alias("tf")), ["doc_id", "term"])
+    starts = words.where("need > 1").join(listed, ["doc_id", "term"]).groupBy("query", "doc_id", "chunk_id", "section_id", "len", "j", "need", (F.col("pos") - F.col("at")).alias("start")).agg(F.count(F.lit(1)).alias("held"))
+    phrase = starts.where("held = need").groupBy("query", "doc_id", "chunk_id", "section_id", "len", "j").agg(F.count(F.lit(1)).alias("tf"))
+    columns = ("query", "doc_id", "chunk_id", "section_id", "len", "j", "tf")
+    counts = single.select(*columns).unionByName(phrase.select(*columns))
+    hits = counts.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("query", "doc_id", "j"))).join(index.stats, "doc_id")
     idf = F.greatest(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
     return hits.groupBy("query", "doc_id", "chunk_id", "section_id").agg((-F.sum(part)).alias("score"))
@@ -61,9 +87,9 @@ def top(found: DataFrame, limit: int, each: bool = False) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def search_documents(asked: DataFrame, tokenised: DataFrame, limit: int) -> DataFrame:
+def search_documents(asked: DataFrame, index: Index, limit: int) -> DataFrame:
     """Over several documents: the best max(3, limit) of each, then the best `limit` of those."""
-    return top(top(ranked(asked, tokenised), max(3, limit), each=True).drop("rank"), limit)
+    return top(top(ranked(asked, index), max(3, limit), each=True).drop("rank"), limit)
 
 
 def plain_search(chunks: DataFrame, terms: list[str], limit: int) -> DataFrame:
@@ -120,23 +146,23 @@ def _chunks(spark, d):
     return parse.markdown_chunks(parse.sections(views.md_docs(spark, d)))
 
 
-def _asked(chunks):
-    return chunks.select("doc_id").distinct().select(F.lit("q").alias("query"), "doc_id", F.array(*map(F.lit, TERMS)).alias("terms"))
+def _asked(index):
+    return index.stats.select(F.lit("q").alias("query"), "doc_id", F.array(*map(F.lit, TERMS)).alias("terms"))
 
 
 def q_bm25(spark, d):
-    chunks = _chunks(spark, d)
-    found = top(ranked(_asked(chunks), index_tokens(chunks)), 3, each=True)
+    index = build(_chunks(spark, d))
+    found = top(ranked(_asked(index), index), 3, each=True)
     return found.select("doc_id", "chunk_id", "section_id", F.round("score", 6).alias("score"), "rank")
 
 
 def q_multi(spark, d):
-    chunks = _chunks(spark, d)
-    return search_documents(_asked(chunks), index_tokens(chunks), 25).select("chunk_id", F.round("score", 6).alias("score"), "rank")
+    index = build(_chunks(spark, d))
+    return search_documents(_asked(index), index, 25).select("chunk_id", F.round("score", 6).alias("score"), "rank")
 
 
 def q_postings(spark, d):
-    return postings(_chunks(spark, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.size("positions")).alias("tokens"), F.countDistinct("term").alias("terms"))
+    return postings(index_tokens(_chunks(spark, d))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.size("positions")).alias("tokens"), F.countDistinct("term").alias("terms"))
 
 
 def q_plain(spark, d):
@@ -148,7 +174,7 @@ def q_snippet(spark, d):
 
 
 def q_read(spark, d):
-    chunks = _chunks(spark, d)
+    chunks = cut(_chunks(spark, d))
     wanted = chunks.where("heading_level = 2").select("section_id")
     return read_sections(chunks, wanted).select("section_id", "section_title", F.size("chunk_ids").cast("long").alias("n"), F.md5("text").alias("text_md5"), "start_char", "end_char")
 

@@ -65,8 +65,8 @@ def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = pairs.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
         "conv_id",
-        F.concat(F.substring("text", 1, 120), mark).alias("question"),
-        F.when(F.col("conv_id") % 7 == 6, "UNANSWERABLE").otherwise(F.substring("answer", 1, 200)).alias("answer"),
+        F.concat("text", mark).alias("question"),
+        F.when(F.col("conv_id") % 7 == 6, "UNANSWERABLE").otherwise(F.col("answer")).alias("answer"),
     )
     again = base.where("conv_id % 4 = 0").select((F.col("ord") + 1_000_000).alias("ord"), "conv_id", F.concat(F.translate("question", _LOW, _UP), F.lit(" !")).alias("question"), "answer")
     return base.unionByName(again)
@@ -75,8 +75,8 @@ def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 QA = f"""qa_pairs as (
   select conv_id, turn, role, text, lead(text) over (partition by conv_id order by turn) as answer, lead(role) over (partition by conv_id order by turn) as next from conversations),
 qa_base as (
-  select conv_id * 1000 + turn as ord, conv_id, substr(text, 1, 120) || case when conv_id % 3 = 0 then '?' else '' end as question,
-    case when conv_id % 7 = 6 then 'UNANSWERABLE' else substr(answer, 1, 200) end as answer
+  select conv_id * 1000 + turn as ord, conv_id, text || case when conv_id % 3 = 0 then '?' else '' end as question,
+    case when conv_id % 7 = 6 then 'UNANSWERABLE' else answer end as answer
   from qa_pairs where role = 'user' and next = 'assistant'),
 qa as (
   select * from qa_base union all

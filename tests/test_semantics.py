@@ -42,6 +42,7 @@ def test_number_tokens_and_keywords(spark):
 
 def test_question_keys(spark):
     rows = spark.createDataFrame([(q,) for q in ("What is X?", "what is x?", "What  is X", "what is x", "", None)], "question string")
+    assert one(spark, T.names_location(F.col("x")), x="见第１２页") and one(spark, T.number_tokens(F.col("x")), x="约１２％") == ["１２"]
     assert [dedup.duplicate_counts(rows, v).first().duplicate_questions for v in ("audit", "writer", "strict")] == [1, 2, 3]
 
 
@@ -66,9 +67,20 @@ def test_citations(spark):
     }
     for text, fault in cases.items():
         assert one(spark, T.citation_fault(F.col("x"), allowed), x=text) == fault
-    assert generate.cited_answer("Alpha is 3.5. Beta holds.", [1, 2], {}, True, False) == "Alpha is 3.5. Beta holds. [1] [2]"
-    assert generate.cited_answer("One. Two.", [1, 2, 3], {1: "a", 2: "a", 3: "b"}, True, True) == "One. [1] Two. [3]"
-    assert generate.cited_answer("No end", [], {}, True, True) == "No end"
+
+
+def test_citation_repair(spark):
+    def repaired(text, owners, hard, multi_doc):
+        rows = spark.createDataFrame([(0, text, list(owners.items()), hard, multi_doc)], "ord int, answer string, entries array<struct<eid:int,doc_id:string>>, hard boolean, multi_doc boolean")
+        return generate.repair_citations(rows).first().cited
+
+    assert repaired("Alpha is 3.5. Beta holds.", {1: None, 2: None}, True, False) == "Alpha is 3.5. Beta holds. [1] [2]"
+    assert repaired("One. Two.", {1: "a", 2: "a", 3: "b"}, True, True) == "One. [1] Two. [3]"
+    assert repaired("No end", {}, True, True) == "No end"
+    assert repaired("No end", {1: "a", 2: "a", 3: "b"}, True, True) == "No end [1] [2] [3]"
+    assert repaired("One. [9] Two", {0: "z", 2: "a", 1: "b"}, False, False) == "One. [1] Two"
+    assert repaired("一。二！", {4: "a"}, True, True) == "一。 [4]二！ [4]"
+    assert repaired(" ", {1: "a"}, True, True) == "" and repaired(None, {1: "a"}, True, True) == ""
 
 
 def test_coverage(spark):
@@ -120,7 +132,7 @@ def test_spans_differ_by_check(spark):
 def test_search_prefers_rare_terms_and_finds_phrases(spark):
     chunks = spark.createDataFrame([("d", f"c{i}", "s", "t", t, []) for i, t in enumerate(["red fox", "red hen", "fox red", "blue"])], "doc_id string, chunk_id string, section_id string, section_title string, text string, image_urls array<string>")
     ask = lambda *terms: spark.createDataFrame([("q", "d", list(terms))], "query string, doc_id string, terms array<string>")
-    hits = lambda *terms: [r.chunk_id for r in search.search_documents(ask(*terms), search.index_tokens(chunks), 5).orderBy("rank").collect()]
+    hits = lambda *terms: [r.chunk_id for r in search.search_documents(ask(*terms), search.build(chunks), 5).orderBy("rank").collect()]
     assert hits("red fox") == ["c0"] and hits("blue", "red")[0] == "c3" and hits(" ", "absent") == []
 
 
