@@ -38,6 +38,8 @@ LONG_WORDS = 50
 MIN_WORDS = 20
 #: Copies of a segment whose bytes one task compares, where there are very many.
 COPIES = 2_000
+#: Bytes of removals that are broadcast to the texts, at most; beyond, both shuffle.
+HELD = 32 << 20
 #: Prime moduli and bases of the prefix sums.
 MODULI = ((2_147_483_647, 1_000_003), (2_147_483_629, 998_244_353))
 
@@ -222,6 +224,8 @@ def line_dedup(docs: DataFrame, **settings: int) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed")
     id_, gone = fresh(docs, "id"), fresh(docs, "gone")
     cut_out = removals(docs, **settings).select(F.col("doc_id").alias(id_), F.col("gone").alias(gone))
+    size = cut_out.agg(F.sum(F.size(gone) * 4 + 64)).first()[0] or 0
+    cut_out = F.broadcast(cut_out) if size <= HELD else cut_out.hint("shuffle_merge")
     lines = F.split("text", "\n")
     kept = lambda a: F.array_except(F.sequence(F.lit(0), F.size(a) - 1), F.col(gone))
     rebuilt = let(lines, lambda a: F.array_join(F.transform(kept(a), lambda i: F.get(a, i)), "\n"))

@@ -92,7 +92,9 @@ def removed_by_hand(docs):
     return out
 
 
-def test_line_dedup_takes_out_repeated_passages(spark):
+@pytest.mark.parametrize("held", [line_dedup.HELD, -1])
+def test_line_dedup_takes_out_repeated_passages(spark, monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD", held)
     passage = prose(77, 60)
     docs = [(i, "\n".join([prose(i, 12), passage if i % 2 else prose(900 + i, 60), prose(i + 500, 9)])) for i in range(1, 13)]
     found = {r.doc_id: r.text for r in line_dedup.line_dedup(frame(spark, docs)).collect()}
