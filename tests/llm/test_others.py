@@ -162,6 +162,30 @@ def test_pipeline_stages_against_their_own_input(spark):
         docs, before = out, after
 
 
+def test_pipeline_stages_on_edges(spark):
+    """Nulls in any column, empty and blank texts, repeated rows and clashing names; and an empty table."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, text, "en", "s", 5), (3, text, "en", "s", 5), (None, text + " end", None, "s", 5), (4, text, "de", None, None), (5, " ", "en", "s", 1)]
+    docs = spark.createDataFrame([(*r, "k", 1, "g") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, key string, id long, gone string")
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, table, SF)
+            out = spark.createDataFrame(made.collect(), made.schema)
+            assert out.count() <= table.count()
+            if name != "mixing":
+                assert out.columns == docs.columns
+                table = out
+    ids = sorted((r.doc_id for r in table.collect() if r.doc_id), key=int)
+    assert ids == []  # the empty table stays empty
+
+
+def test_pipeline_run_removes_what_its_stages_read(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(60).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() > 0 and {"topic", "tokens", "p"} <= set(out.columns)
+
+
 @pytest.mark.parametrize("name", ["op4_licenses", "op5_pii"])
 def test_row_operators_keep_all_documents(spark, name):
     assert registry.queries()[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
