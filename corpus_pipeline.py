@@ -4,6 +4,11 @@ Toxic documents go; repeated line chunks are taken out of the texts (and documen
 go); one document of each group of near-duplicates stays; benchmark passages are taken out by dropping the
 documents that hold them; and the rest is sampled to the target mix. All stages but the last return the
 columns of `documents`.
+
+Defined results: null and empty texts pass all stages but the last, which draws no document without tokens; rows
+with a null id stay through all stages but toxicity's and decontamination's verdict on their text; repeated rows
+of one id become one row in the third stage; of equal documents the smallest id stays; texts are processed whole;
+empty tables give no rows; other columns pass through, except that the last stage replaces topic, tokens and p.
 """
 
 from __future__ import annotations
@@ -56,7 +61,8 @@ STAGES = [
     ("decontamination", remove_benchmark),
     ("mixing", mix_sources),
 ]
-#: Stages 1 and 3 have no SQL form; tests hold run() against a brute-force version of each stage.
+#: Stages 1 and 3 have no SQL form. Tests redo near-duplicates and decontamination by brute force over what each was
+#: given, and hold the rules of line deduplication for long lines.
 ORACLE_SQL = None
 
 
