@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquarry.operators import assets, checks, coverage, dedup, generate, library, parse, report, search
+from docquarry.operators import assets, checks, context, coverage, dedup, generate, library, parse, report, search
 
-MODULES = (parse, search, dedup, coverage, checks, report, generate, assets, library)
+MODULES = (parse, search, dedup, coverage, checks, report, generate, assets, library, context)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

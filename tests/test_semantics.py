@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docquarry.functions import sandbox
 from docquarry.functions import text as T
-from docquarry.operators import checks, coverage, dedup, generate, parse, report, search
+from docquarry.operators import checks, context, coverage, dedup, generate, parse, report, search
 from docquarry.sources import files
 from docquarry.streaming import audit
 
@@ -207,3 +207,29 @@ def test_citation_queries_read_whole_texts(spark, tmp_path):
     spark.createDataFrame([(6, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert checks.q_citations(spark, str(tmp_path)).first().fault == "malformed_brackets"
     assert "x" * 400 in str(generate.q_repair(spark, str(tmp_path)).first())
+
+
+def test_context_streams(spark):
+    part = lambda kind, text: {"type": kind, "content": text}
+    image = {"image_source": {"path": " out/fig.png "}}
+    rows = [
+        ("a", 2, "image", image), ("a", 0, "title", {"title_content": [part("text", " Head "), part("text", " "), part("equation_inline", "no")]}), ("a", 1, "image", image),
+        ("a", 3, "paragraph", {"paragraph_content": [part("text", "so "), part("equation_interline", "x"), part("note", "no")]} | image), ("a", 4, "list", {"html": "no"}), ("b", 0, "title", None),
+    ]
+    blocks = spark.createDataFrame(rows, f"doc_id string, ord int, type string, content {context.CONTENT}")
+    told = {r.doc_id: (r.stream, [tuple(m) for m in r.markers]) for r in context.context_streams(blocks).collect()}
+    assert told == {"a": ("Head\n\n![img](images/fig.png)\nso x", [(6, "fig.png")]), "b": ("", [])}
+    assert context.context_streams(blocks.limit(0)).count() == 0
+    assert context.context_streams(blocks)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_labels_and_endpoints(spark):
+    kind = "array<struct<section_id:string,doc_title:string,doc_filename:string>>"
+    rows = [(0, [("s", None, " d/One.pdf"), ("s", "ONE!", None), ("", "Two", None), ("s", "??", None), ("s", "Three", "x")]), (1, []), (2, [(None, "No", None)])]
+    labels = context.source_labels(F.col("e"), F.lit(2))
+    frame = spark.createDataFrame(rows, f"i int, e {kind}").select("i", labels.alias("l"), *(context.source_hint(labels, F.lit(x)).alias(x.replace("-", "")) for x in ("en", "zh-Hant")))
+    told = {r.i: (r.l, r.en, r.zhHant) for r in frame.collect()}
+    assert told == {0: (["One", "Three"], "(Files: One + Three)", "（文件：One + Three）"), 1: ([], "", ""), 2: ([], "", "")}
+    bases = ["http://h", "http://h//", "http://h/v1/", "http://h/v1/chat/completions"]
+    ends = spark.createDataFrame([(b,) for b in bases], "b string").select(context.chat_endpoint(F.col("b")).alias("e")).collect()
+    assert {r.e for r in ends} == {"http://h/v1/chat/completions"}
