@@ -186,16 +186,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: i
             made = cut(sketched(docs, k, bins, rows))
             sizes = pass_on(made.select("doc_id", "n", "set_key"))
             known = made.where("n > 0 and doc_id is not null")
-            banded = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+            banded = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
             classes = pass_on(banded.select("set_key", "id"))
-            spread = banded.select("id", "n", F.explode("bands").alias("key"))
-            shared = spread.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("tail")).where("head.id <> tail")
+            spread = banded.select("id", F.explode("bands").alias("key"))
+            shared = spread.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head <> tail")
             members = pass_on(spread.join(shared.select("key", "head"), "key"))
         wanted = members.select(F.col("id").alias("doc_id")).distinct()
         sets = cut(sets_of(docs.join(wanted, "doc_id", "left_semi"), k).distinct())
 
-        fits = F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent
-        stars = members.where((F.col("id") != F.col("head.id")) & fits).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
+        stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
         labels = components(verified(cut(stars), sets, percent))
         late = _apart(members, labels, sets, percent)
         component = labels.select("id", F.col("component_id").alias("c"))
