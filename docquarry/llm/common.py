@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docquarry.plans.lineage import cut, passing, remove, tables_folder
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "fresh", "join_keys", "let", "only", "passing", "remove", "small", "table", "tables_folder", "words"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "fresh", "held", "join_keys", "let", "only", "passing", "remove", "small", "table", "tables_folder", "words"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: a run of ASCII letters, ASCII digits and any non-ASCII characters (input already lower-cased).
@@ -63,3 +63,8 @@ def join_keys(rows: DataFrame, keys: DataFrame, key: str, total: int) -> DataFra
 def small(df: DataFrame, rows: int = 1_000_000) -> bool:
     """Whether a table has at most so many rows; counts no further than that."""
     return df.limit(rows + 1).count() <= rows
+
+
+def held(written: DataFrame, rows: int) -> DataFrame:
+    """A written table as a side of a join: broadcast up to so many rows, else shuffled."""
+    return F.broadcast(written) if written.count() <= rows else written.hint("shuffle_merge")

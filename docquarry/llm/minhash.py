@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import shingles
-from docquarry.llm.common import cut, only, passing, table
+from docquarry.llm.common import cut, held, only, passing, table
 from docquarry.operators.graph import components
 
 BINS = 512
@@ -43,6 +43,8 @@ PERCENT = 80
 SALTS = 64
 #: Strays that a task holds, and rows of a component that stream past them in one task.
 STRAYS, STREAMED = 1_000, 4_000
+#: Ids of candidates that are broadcast to the texts, at most (16 MB); beyond, both shuffle.
+HELD = 2_000_000
 
 
 def sketched(docs: DataFrame, k: int, bins: int = BINS, rows: int = ROWS) -> DataFrame:
@@ -178,7 +180,7 @@ def _renamed(made: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFram
     return rows.join(rows.groupBy("doc_id").agg(F.min("y").alias("x")), "doc_id").where("x <> y").select("x", "y")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, most: int = HELD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     docs = only(docs, "doc_id", "text")
     with passing(docs.sparkSession) as keep:
@@ -191,8 +193,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT, bins: i
             spread = banded.select("id", F.explode("bands").alias("key"))
             shared = spread.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head <> tail")
             members = pass_on(spread.join(shared.select("key", "head"), "key"))
-        wanted = members.select(F.col("id").alias("doc_id")).distinct()
-        sets = cut(sets_of(docs.join(wanted, "doc_id", "left_semi"), k).distinct())
+        wanted = cut(members.select(F.col("id").alias("doc_id")).distinct())
+        sets = cut(sets_of(docs.join(held(wanted, most), "doc_id", "left_semi"), k).distinct())
 
         stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
         labels = components(verified(cut(stars), sets, percent))

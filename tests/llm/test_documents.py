@@ -77,6 +77,7 @@ def test_near_duplicates_edges(spark):
     names = [(5, prose(1, 40)), (5, prose(2, 40)), (3, prose(2, 40)), (9, prose(1, 40)), (7, prose(3, 40))]
     assert rows(minhash.near_duplicates(frame(spark, names), k=4).select("doc_id", "component_id")) == [(3, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
     assert minhash.near_duplicates(frame(spark, EDGES[:3]), k=4).where("kept").count() == 3
+    assert rows(minhash.near_duplicates(frame(spark, names), k=4, most=0)) == rows(minhash.near_duplicates(frame(spark, names), k=4))
 
 
 def removed_by_hand(docs):
