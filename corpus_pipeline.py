@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import decontaminate, line_dedup, minhash, mixing, toxicity
-from docquarry.llm.common import passing, remove, table, tables_folder
+from docquarry.llm.common import cut, held, passing, remove, table, tables_folder
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +38,13 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1, five words and a similarity of 0.8: the document with the smallest id of a group stays,
-    and once only."""
-    kept = minhash.near_duplicates(docs, k=5).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    and once only. Texts are shuffled for repeated ids alone, unless very many ids go."""
+    told = minhash.near_duplicates(docs, k=5).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    other = cut(told.where("not kept or n > 1"))
+    repeated = cut(other.where("kept").select("doc_id"))
+    single = docs.join(held(other.select("doc_id"), minhash.HELD), "doc_id", "left_anti")
+    once = docs.join(held(repeated, minhash.HELD), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(once).select(*docs.columns)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
