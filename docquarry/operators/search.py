@@ -24,13 +24,19 @@ from docquarry.plans.lineage import cut
 K1, B = 1.2, 0.75
 MOST_TERMS = 12
 CHUNKS_A_SECTION = 8
-TOKENS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: Between words. Java takes eight times as long to find words by the negated class.
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
+
+
+def tokens(c: Column) -> Column:
+    """The words of a text, lower-cased, in order."""
+    return F.array_remove(F.split(F.lower(c), BETWEEN + "+"), "")
 
 
 def index_tokens(chunks: DataFrame) -> DataFrame:
     """Adds tokens of the searchable fields: ids, title and text."""
     fields = F.concat_ws(" ", "chunk_id", "section_id", "section_title", "text")
-    return chunks.withColumn("tokens", F.regexp_extract_all(F.lower(fields), F.lit(TOKENS), F.lit(0)))
+    return chunks.withColumn("tokens", tokens(fields))
 
 
 def postings(tokenised: DataFrame) -> DataFrame:
@@ -58,7 +64,7 @@ def build(chunks: DataFrame) -> Index:
 def query_terms(terms: Column) -> Column:
     """Token sequences of the first terms that aren't blank."""
     kept = F.slice(F.filter(F.transform(terms, T.strip), lambda t: t != ""), 1, MOST_TERMS)
-    return F.filter(F.transform(kept, lambda t: F.regexp_extract_all(F.lower(t), F.lit(TOKENS), F.lit(0))), lambda t: F.size(t) > 0)
+    return F.filter(F.transform(kept, tokens), lambda t: F.size(t) > 0)
 
 
 def ranked(asked: DataFrame, index: Index) -> DataFrame:
@@ -103,14 +109,25 @@ def plain_search(chunks: DataFrame, terms: list[str], limit: int) -> DataFrame:
 
 def snippet(text: Column, terms: Column, width: int = 12) -> Column:
     """A run of `width` words from the first that a term holds, with such words in brackets."""
-    words = F.filter(F.split(text, f"[{T.SPACE}]+"), lambda w: w != "")
-    low = F.transform(words, lambda w: F.array_join(F.regexp_extract_all(F.lower(w), F.lit(TOKENS), F.lit(0)), ""))
-    flat = F.flatten(query_terms(terms))
-    hit = F.transform(low, lambda w: F.array_contains(flat, w))
-    start = F.greatest(F.array_position(hit, F.lit(True)), F.lit(1)).cast("int")
-    marked = F.zip_with(words, hit, lambda w, h: F.when(h, F.concat(F.lit("["), w, F.lit("]"))).otherwise(w))
-    body = F.array_join(F.slice(marked, start, width), " ")
-    return F.concat(F.when(start > 1, "…").otherwise(""), body, F.when(F.size(words) >= start + width, "…").otherwise(""))
+
+
+    def told(x: Column) -> Column:
+        at = F.filter(F.transform(x["asked"], lambda t: F.array_position(x["low"], t)), lambda i: i > 0)
+        start = F.coalesce(F.array_min(at), F.lit(1)).cast("int")
+        window = lambda i: F.struct(i.alias("start"), F.slice(x["words"], i, width).alias("words"), F.slice(x["low"], i, width).alias("low"), F.size(x["words"]).alias("n"), x["asked"].alias("asked"))
+        return T.let(start, window)
+
+    def marked(x: Column) -> Column:
+        body = F.zip_with(x["words"], x["low"], lambda w, l: F.when(F.array_contains(x["asked"], l), F.concat(F.lit("["), w, F.lit("]"))).otherwise(w))
+        return F.concat(F.when(x["start"] > 1, "…").otherwise(""), F.array_join(body, " "), F.when(x["n"] >= x["start"] + width, "…").otherwise(""))
+
+    # one space between words, so that the text without punctuation splits into as many
+    split = lambda c: F.split(c, " ")
+    plain = lambda flat: F.regexp_replace(F.lower(flat), BETWEEN.replace("\\x2F", "\\x1F\\x21-\\x2F") + "+", "")
+    both = T.let(T.collapse(text), lambda flat: F.when(flat != "", F.struct(split(flat).alias("words"), split(plain(flat)).alias("low"))))
+    none = F.array().cast("array<string>")
+    parts = F.struct(F.coalesce(both["words"], none).alias("words"), F.coalesce(both["low"], none).alias("low"), F.array_distinct(F.flatten(query_terms(terms))).alias("asked"))
+    return F.when(text.isNotNull(), T.let(T.let(parts, told), marked))
 
 
 def read_sections(chunks: DataFrame, wanted: DataFrame, most: int = 8000) -> DataFrame:
