@@ -40,9 +40,19 @@ def index_tokens(chunks: DataFrame) -> DataFrame:
 
 
 def postings(tokenised: DataFrame) -> DataFrame:
-    """(doc_id, chunk_id, term, positions) of index_tokens() rows."""
-    rows = tokenised.select("doc_id", "chunk_id", F.posexplode("tokens").alias("pos", "term"))
-    return rows.groupBy("doc_id", "chunk_id", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+    """(doc_id, chunk_id, term, positions) of index_tokens() rows, one a chunk. A chunk's tokens are sorted in its
+    row, where each run of a term is its postings: nothing shuffles."""
+    entries = F.sort_array(F.transform("tokens", lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+
+    def starts(es: Column) -> Column:
+        return F.array_compact(F.transform(es, lambda e, i: F.when((i == 0) | (e["term"] != F.get(es, i - 1)["term"]), i)))
+
+    def listed(es: Column, at: Column) -> Column:
+        run = lambda i, k: F.slice(es, i + 1, F.coalesce(F.get(at, k + 1), F.size(es)) - i)
+        return F.transform(at, lambda i, k: F.struct(F.get(es, i)["term"].alias("term"), F.transform(run(i, k), lambda e: e["pos"]).alias("positions")))
+
+    rows = tokenised.select("doc_id", "chunk_id", F.explode(T.let(entries, lambda es: T.let(starts(es), lambda at: listed(es, at)))).alias("x"))
+    return rows.select("doc_id", "chunk_id", "x.term", "x.positions")
 
 
 @dataclass

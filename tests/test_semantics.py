@@ -180,6 +180,13 @@ def test_signature_sums_are_made_over_few_rows():
     assert all(int(told[i]) % 2**64 == bits(hashes[i * each : (i + 1) * each]) for i in (0, 499, 500, 3999))
 
 
+def test_postings_stay_in_their_rows(spark):
+    rows = spark.createDataFrame([("d", "c1", ["b", "a", "b"]), ("d", "c2", []), ("e", "c3", ["a"])], "doc_id string, chunk_id string, tokens array<string>")
+    told = search.postings(rows)
+    assert sorted(tuple(r) for r in told.collect()) == [("d", "c1", "a", [1]), ("d", "c1", "b", [0, 2]), ("e", "c3", "a", [0])]
+    assert "Exchange" not in told._jdf.queryExecution().executedPlan().toString()
+
+
 def test_snippets(spark):
     told = lambda text, *terms: one(spark, search.snippet(F.col("x"), F.array(*map(F.lit, terms)), 3), x=text)
     assert told("a - b\n(Fox)! d e", "fox") == "…[(Fox)!] d e" and told(" \u2003a  b\tc d", "fox", "the fox") == "a b c…"
