@@ -92,7 +92,7 @@ def write_new(existing: DataFrame, items: DataFrame) -> DataFrame:
 
 def export_corpus(chunks: DataFrame, most: int = 520) -> DataFrame:
     """Corpus rows (id, title, body, doc_id, section_id, fact): fact is one line of the text."""
-    return chunks.where(T.strip(F.col("text")) != "").select(
+    return chunks.where(~T.blank(F.col("text"))).select(
         F.col("chunk_id").alias("id"), F.col("section_title").alias("title"), F.col("text").alias("body"), "doc_id", "section_id", T.one_line(F.col("text"), most).alias("fact")
     )
 

@@ -331,3 +331,21 @@ def test_section_offsets_are_summed_in_their_rows(spark):
     assert sorted((r.doc_id, r.title, r.level, r.start_char, r.end_char) for r in found.where("doc_id > 'd'").collect()) == [("e", "", 0, 0, 0), ("f", "ab", 1, 0, 7), ("g", "", 0, 0, 4)]
     sums = lambda *xs: one(spark, T.running_sums(F.array(*map(F.lit, xs)), 2))
     assert [sums(1), sums(1, 2), sums(1, 2, 3), sums(1, 2, 3, 4, 5)] == [[1], [1, 3], [1, 3, 6], [1, 3, 6, 10, 15]]
+
+
+def test_one_line_reads_what_makes_the_line(spark):
+    texts = ["", None, " \n ", "abcde", "a  b \n c", " " * 30 + "abcdefgh", "ab " * 30, "a" * 5 + " " * 20 + "b", "a" * 4 + " " * 20 + "bc", "a" * 6 + " ", "ab  cd\u2003 ", "a\u3000\u3000b c d e f g"]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", T.one_line(F.col("x"), 6).alias("line"), T.blank(F.col("x")).alias("blank")).collect()
+    flat = [" ".join((t or "").split()) for t in texts]
+    assert [r.line for r in rows] == [f if len(f) <= 6 else f[:5].rstrip() + "\u2026" for f in flat]
+    assert [r.blank for r in rows] == [None if t is None else not t.strip() for t in texts]
+    text = spark.range(1).select(F.repeat(F.concat(F.lit("word  "), F.col("id").cast("string")), 4_000_000).alias("x")).cache()
+
+    def took(line):
+        begun = time.monotonic()
+        text.select(F.length(line)).collect()
+        return time.monotonic() - begun
+
+    took(F.col("x")), took(T.collapse(F.col("x")))
+    assert took(T.one_line(F.col("x"), 20)) < took(T.collapse(F.col("x"))) / 2
+    text.unpersist()
