@@ -349,3 +349,13 @@ def test_one_line_reads_what_makes_the_line(spark):
     took(F.col("x")), took(T.collapse(F.col("x")))
     assert took(T.one_line(F.col("x"), 20)) < took(T.collapse(F.col("x"))) / 2
     text.unpersist()
+
+
+def test_export_writes_no_corpus(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, "the a\nb\nc\nd\ne\nf") for i in range(12)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    written = []
+    monkeypatch.setattr(report, "cut", lambda frame: written.append(frame) or frame)
+    told = report.q_export(spark, str(tmp_path))
+    assert [w.columns[-1] for w in written] == ["body"] and told.count() == 12
+    monkeypatch.undo()
+    assert _equals_sql(spark, "export_qa", tmp_path)
