@@ -1,10 +1,9 @@
 """Full-text index, ranked and plain search, and section reading over chunks.
 
 Each document is an index of its own: frequencies and lengths are those of its chunks. Scores are BM25, negative,
-so that lower is better. A term with a space is a phrase. The index is written once: the lengths of the chunks,
-and the postings of their terms. A search joins the terms that are asked for with the postings, by document and
-term, so it reads nothing of chunks that hold none of them; a phrase is met where the postings of its words
-fall on one start.
+so that lower is better. A term with a space is a phrase. The index is written once: the words of each chunk as
+one text, and their number. A search brings the terms asked of a document to its chunks, where words and phrases
+are counted in their rows, so that no word becomes a row of its own.
 
 Words are runs of ASCII letters and digits and of all characters beyond ASCII, lower-cased. Accents aren't folded,
 and punctuation beyond ASCII belongs to its word.
@@ -57,18 +56,24 @@ def postings(tokenised: DataFrame) -> DataFrame:
 
 @dataclass
 class Index:
-    """chunks: (doc_id, chunk_id, section_id, tokens); stats: (doc_id, n, mean), chunks of a document and their mean
-    length."""
+    """chunks: (doc_id, chunk_id, section_id, len, words), words as by spaced(); stats: (doc_id, n, mean), chunks of
+    a document and their mean length."""
 
     chunks: DataFrame
     stats: DataFrame
 
 
+def spaced(words: Column) -> Column:
+    """Words as one text, each between two spaces of its own."""
+    return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+
+
 def build(chunks: DataFrame) -> Index:
-    """The index of chunks, written as tables. Tokens stay in their chunk's row, in order: that is the list of
-    postings of a chunk, and what isn't asked for is dropped where it is read."""
-    held = cut(index_tokens(chunks).select("doc_id", "chunk_id", "section_id", "tokens"))
-    return Index(held, cut(held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("tokens")).alias("mean"))))
+    """The index of chunks, written as tables. Words stay in their chunk's row, in order: that is the list of
+    postings of a chunk, and what isn't asked for goes no further than where it is read. As one text they take
+    less room in a shuffle than as an array."""
+    held = cut(index_tokens(chunks).select("doc_id", "chunk_id", "section_id", F.size("tokens").alias("len"), spaced(F.col("tokens")).alias("words")))
+    return Index(held, cut(held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean"))))
 
 
 def query_terms(terms: Column) -> Column:
@@ -77,19 +82,25 @@ def query_terms(terms: Column) -> Column:
     return F.filter(F.transform(kept, tokens), lambda t: F.size(t) > 0)
 
 
+def frequency(words: Column, sequence: Column, text: Column) -> Column:
+    """Places of a sequence, of which text is spaced(), in spaced words. One that repeats a word may overlap itself,
+    so every place is tried. Words hold no ASCII but letters and digits, so a text is a pattern of itself; patterns
+    skip ahead, where replace() compares at every byte."""
+    plain = F.regexp_count(words, text)
+    starts = lambda ws: F.size(F.filter(ws, lambda w, i: (w == F.get(sequence, F.lit(0))) & (F.slice(ws, i + 1, F.size(sequence)) == sequence)))
+    return F.when(F.size(F.array_distinct(sequence)) == F.size(sequence), plain).otherwise(T.let(F.split(F.trim(words), "  "), starts))
+
+
 def ranked(asked: DataFrame, index: Index) -> DataFrame:
     """(query, doc_id, chunk_id, section_id, score) for rows (query, doc_id, terms) against their documents."""
     terms = asked.select("query", "doc_id", F.posexplode(query_terms(F.col("terms"))).alias("j", "sequence"))
     words = terms.select("query", "doc_id", "j", F.size("sequence").alias("need"), F.posexplode("sequence").alias("at", "term"))
-    # the words asked of a document travel to its chunks, whose other tokens go no further
-    wanted = words.groupBy("doc_id").agg(F.collect_set("term").alias("wanted"))
-    met = index.chunks.join(wanted, "doc_id").select("doc_id", "chunk_id", "section_id", F.size("tokens").alias("len"), "wanted", F.posexplode("tokens").alias("pos", "term"))
-    listed = met.where(F.array_contains("wanted", F.col("term"))).drop("wanted")
-    single = words.where("need = 1").join(listed.groupBy("doc_id", "chunk_id", "section_id", "len", "term").agg(F.count(F.lit(1)).alias("tf")), ["doc_id", "term"])
-    starts = words.where("need > 1").join(listed, ["doc_id", "term"]).groupBy("query", "doc_id", "chunk_id", "section_id", "len", "j", "need", (F.col("pos") - F.col("at")).alias("start")).agg(F.count(F.lit(1)).alias("held"))
-    phrase = starts.where("held = need").groupBy("query", "doc_id", "chunk_id", "section_id", "len", "j").agg(F.count(F.lit(1)).alias("tf"))
-    columns = ("query", "doc_id", "chunk_id", "section_id", "len", "j", "tf")
-    counts = single.select(*columns).unionByName(phrase.select(*columns))
+    # the sequences asked of a document travel to its chunks, each once, and are counted in a chunk's row
+    by = terms.groupBy("doc_id", "sequence").agg(F.collect_list(F.struct("query", "j")).alias("by"))
+    asks = by.groupBy("doc_id").agg(F.collect_list(F.struct("sequence", spaced(F.col("sequence")).alias("text"), "by")).alias("asks"))
+    told = F.transform("asks", lambda a: F.struct(frequency(F.col("words"), a["sequence"], a["text"]).alias("tf"), a["by"].alias("by")))
+    met = index.chunks.join(asks, "doc_id").select("doc_id", "chunk_id", "section_id", "len", F.explode(F.filter(told, lambda x: x["tf"] > 0)).alias("x"))
+    counts = met.select("doc_id", "chunk_id", "section_id", "len", "x.tf", F.inline("x.by"))
     hits = counts.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("query", "doc_id", "j"))).join(index.stats, "doc_id")
     idf = F.greatest(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))

@@ -359,3 +359,17 @@ def test_export_writes_no_corpus(spark, tmp_path, monkeypatch):
     assert [w.columns[-1] for w in written] == ["body"] and told.count() == 12
     monkeypatch.undo()
     assert _equals_sql(spark, "export_qa", tmp_path)
+
+
+def test_search_counts_in_rows_of_chunks(spark):
+    texts = ["a b a b a", "a a a b a a", "ab a", "\u00e9t\u00e9 b", ""]
+    chunks = spark.createDataFrame([("d", f"c{i}", "s", "t", t) for i, t in enumerate(texts)], "doc_id string, chunk_id string, section_id string, section_title string, text string")
+    index = search.build(chunks)
+    count = lambda *words: [r[0] for r in index.chunks.orderBy("chunk_id").select(search.frequency(F.col("words"), F.array(*map(F.lit, words)), search.spaced(F.array(*map(F.lit, words))))).collect()]
+    assert count("a") == [3, 5, 1, 0, 0] and count("a", "a") == [0, 3, 0, 0, 0] and count("a", "b", "a") == [2, 1, 0, 0, 0]
+    assert count("b", "a") == [2, 1, 0, 0, 0] and count("\u00e9t\u00e9", "b") == [0, 0, 0, 1, 0] and count("ab") == [0, 0, 1, 0, 0]
+    asked = spark.createDataFrame([("p", "d", ["a b", "a"]), ("q", "d", ["a", "\u00c9t\u00e9"])], "query string, doc_id string, terms array<string>")
+    found = search.ranked(asked, index)
+    assert sorted((r.query, r.chunk_id) for r in found.collect()) == [("p", "c0"), ("p", "c1"), ("p", "c2"), ("q", "c0"), ("q", "c1"), ("q", "c2"), ("q", "c3")]
+    # chunks are read once, and their statistics
+    assert _plan(search.ranked(asked, index)).count("FileScan parquet") == 2
