@@ -13,12 +13,12 @@ from docquarry.plans.lineage import cut
 def reachability(asked: DataFrame, index: search.Index, limit: int = 10, searches: int = 2, reads: int = 2) -> DataFrame:
     """(ord, ok, searches, reads) for rows (ord, question, used_doc_ids, evidence_section_ids): up to two
     keyword sets are searched in each used document; the second counts only if the first found no gold
-    section. Both run as one search over rows (item, set, document)."""
+    section. Both run as one search over rows (item, set, document), which are written once."""
     base = T.keywords(F.col("question"))
     sets = F.slice(F.array(base, T.more_keywords(F.col("question"), base)), 1, searches)
     rows = asked.select("ord", F.posexplode(sets).alias("k", "terms"), "used_doc_ids").where(F.size("terms") > 0)
     rows = rows.select("ord", "k", "terms", F.explode(F.array_distinct("used_doc_ids")).alias("doc_id"))
-    rows = rows.join(index.stats.select("doc_id"), "doc_id", "left_semi").withColumn("query", F.concat_ws(":", F.col("ord").cast("string"), F.col("k").cast("string")))
+    rows = cut(rows.join(index.stats.select("doc_id"), "doc_id", "left_semi").withColumn("query", F.concat_ws(":", F.col("ord").cast("string"), F.col("k").cast("string"))))
     hits = search.top(search.ranked(rows.select("query", "doc_id", "terms"), index), limit, each=True)
     found = hits.groupBy("query", "doc_id").agg(F.collect_set("section_id").alias("hit"))
     told = rows.join(found, ["query", "doc_id"], "left").join(asked.select("ord", F.col("evidence_section_ids").alias("gold")), "ord")

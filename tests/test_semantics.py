@@ -373,3 +373,12 @@ def test_search_counts_in_rows_of_chunks(spark):
     assert sorted((r.query, r.chunk_id) for r in found.collect()) == [("p", "c0"), ("p", "c1"), ("p", "c2"), ("q", "c0"), ("q", "c1"), ("q", "c2"), ("q", "c3")]
     # chunks are read once, and their statistics
     assert _plan(search.ranked(asked, index)).count("FileScan parquet") == 2
+
+
+def test_reachability_makes_its_searches_once(spark):
+    chunks = spark.createDataFrame([("d", "c0", "s0", "t", "red fox"), ("d", "c1", "s1", "t", "blue hen")], "doc_id string, chunk_id string, section_id string, section_title string, text string")
+    asked = spark.createDataFrame([(1, "blue hen?", ["d"], ["s1"]), (2, "red fox", ["d"], ["s1"]), (3, "the", ["d"], ["s0"]), (4, "red", ["x"], ["s0"])], "ord long, question string, used_doc_ids array<string>, evidence_section_ids array<string>")
+    told = report.reachability(asked, search.build(chunks))
+    assert sorted(tuple(r) for r in told.collect()) == [(1, True, 1, 1), (2, False, 2, 2), (3, False, 0, 0), (4, False, 0, 0)]
+    # and no plan makes keywords again
+    assert T.TOKEN not in _plan(told)
